@@ -34,7 +34,7 @@ found as (
 
 _NODES = """
 p as (
-  select registry_name, name, registry_name||':'||name k, arg_max("references", parsed_at) refs, max(parsed_at) at
+  select registry_name, name, registry_name||':'||name k, arg_max("references", parsed_at) refs, max(parsed_at) seen_at
   from parsed_schemas group by 1,2,3),
 """
 
@@ -64,14 +64,14 @@ with {_NODES}
 g as (select registry_name||':'||name k, registry_name, name, arg_max(created_time, updated_time) born from glue_schemas group by 1,2,3),
 byname as (select name, min(k) k from g group by 1),
 gone as (select registry_name||':'||schema_name k, bool_and(status='DELETING') gone from glue_versions group by 1),
-r as (select distinct k src, registry_name, unnest(refs) ref, at from p),
+r as (select distinct k src, registry_name, unnest(refs) ref, seen_at from p),
 t as (
   select r.*, case when a.k is not null then a.k when o.k is not null then o.k else n.k end target
   from r left join g a on a.k=r.ref left join g o on o.k=r.registry_name||':'||r.ref left join byname n on n.name=r.ref
   where r.ref<>''),
 a as (
-  select 'parsed_schemas' src_table, t.src src_key, t.ref, t.at,
-         case when t.target is null then 'missing' when coalesce(gone.gone,false) then 'deleted' when g.born>t.at then 'late' end reason
+  select 'parsed_schemas' src_table, t.src src_key, t.ref, t.seen_at,
+         case when t.target is null then 'missing' when coalesce(gone.gone,false) then 'deleted' when g.born>t.seen_at then 'late' end reason
   from t left join gone on gone.k=t.target left join g on g.k=t.target),
 q as (
   select distinct request_id, context, requested_at, unnest("references").subject ref from requests),
@@ -80,10 +80,10 @@ q2 as (
 s as (select {_KEY.format("context", "name")} k, max(len(versions)) n from subjects group by 1),
 f as (select {_KEY.format("context", "subject")} k, min(requested_at) born from requests group by 1),
 b as (
-  select 'requests' src_table, request_id src_key, ref, requested_at at,
+  select 'requests' src_table, request_id src_key, ref, requested_at seen_at,
          case when s.k is null then 'missing' when s.n=0 then 'deleted' when f.born>requested_at then 'late' end reason
   from q2 left join s on s.k=q2.k left join f on f.k=q2.k),
-found as (select distinct src_table, src_key, ref, reason, at from (select * from a union all by name select * from b) where reason is not null)
+found as (select distinct src_table, src_key, ref, reason, seen_at from (select * from a union all by name select * from b) where reason is not null)
 """
 
 SQL = {
@@ -91,5 +91,5 @@ SQL = {
     "p1_by_field": _P1 + "select field, count(*) n_targets from found group by 1",
     "p4_found": _P4 + "select * from found",
     "p5_found": _P5 + "select distinct src_table, src_key, ref, reason from found",
-    "p5_by_month": _P5 + "select src_table, strftime(at, '%Y-%m') as month, reason, count(*) n_orphans from found group by all",
+    "p5_by_month": _P5 + "select src_table, strftime(seen_at, '%Y-%m') as month, reason, count(*) n_orphans from found group by all",
 }
