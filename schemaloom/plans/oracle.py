@@ -16,7 +16,7 @@ b as (
   select m.k, m.sk, g.compat gc, g.fmt gf, s.compat sc, s.fmt sf, len(s.versions) n, l.n ln, l.sk lk
   from m join s on m.k=s.k left join g on g.sk=m.sk left join l on l.sk=m.sk),
 gv as (
-  select b.k, v.version_number vn, md5(regexp_replace(arg_max(v.definition, v.ingested_at),'\s+','','g')) h
+  select b.k, v.version_number vn, md5(regexp_replace(arg_max({{d: v.definition}}, v.ingested_at).d,'\s+','','g')) h
   from b join glue_versions v on v.registry_name||':'||v.schema_name=b.sk where v.status='AVAILABLE' group by 1,2),
 sv as (
   select k, v.version::bigint vn, md5(regexp_replace(v.schema,'\s+','','g')) h
@@ -34,7 +34,7 @@ found as (
 
 _NODES = """
 p as (
-  select registry_name, name, registry_name||':'||name k, arg_max("references", parsed_at) refs, max(parsed_at) seen_at
+  select registry_name, name, registry_name||':'||name k, arg_max({r: "references"}, parsed_at).r refs, max(parsed_at) seen_at
   from parsed_schemas group by 1,2,3),
 """
 
