@@ -106,6 +106,66 @@ def _code(text: str) -> str:
     return ";".join(blocks[0])
 
 
+_TOKEN = re.compile(r"\"(?:\\.|[^\"\\])*\"|'(?:\\.|[^'\\])*'|[{}\[\]:,;]|[^\s{}\[\]:,;\"']+|[\"']", re.S)
+_ESCAPE = re.compile(r"\\(?:u([0-9a-fA-F]{4})|(.))", re.S)
+_CONTROL = {"n": "\n", "t": "\t", "r": "\r", "b": "\b", "f": "\f"}
+
+
+def _loose(text: str) -> object:
+    """JSON in loose punctuation: either kind of quote, commas and semicolons missing or too many. ValueError if damaged."""
+    stack: list = []
+    top = None
+    for m in _TOKEN.finditer(text):
+        t = m.group()
+        c = t[0]
+        if c in ",;":
+            continue
+        if c in "{[":
+            v: object = {} if c == "{" else []
+        elif c in "}]":
+            if not stack or isinstance(stack[-1][0], dict) != (c == "}"):
+                raise ValueError("unbalanced")
+            stack.pop()
+            if not stack:
+                if text[m.end() :].strip(" \t\r\n,;."):
+                    raise ValueError("more after the end")
+                return top
+            continue
+        elif c == ":":
+            if not stack or not isinstance(stack[-1][0], dict) or stack[-1][1] is None:
+                raise ValueError("colon")
+            continue
+        elif c in "\"'":
+            if len(t) < 2:
+                raise ValueError("open string")
+            v = t[1:-1]
+            if "\\" in v:
+                v = _ESCAPE.sub(lambda e: chr(int(e.group(1), 16)) if e.group(1) else _CONTROL.get(e.group(2), e.group(2)), v)
+        else:
+            try:
+                v = json.loads(t)
+            except ValueError:
+                v = t
+        if not stack:
+            if c not in "{[":
+                raise ValueError("no container")
+            top = v
+        else:
+            at = stack[-1]
+            if isinstance(at[0], list):
+                at[0].append(v)
+            elif at[1] is None:
+                if isinstance(v, (dict, list)):
+                    raise ValueError("key")
+                at[1] = v if isinstance(v, str) else str(v)
+            else:
+                at[0][at[1]] = v
+                at[1] = None
+        if c in "{[":
+            stack.append([v, None])
+    raise ValueError("open container")
+
+
 _PROTO = re.compile(r"\s*(?://|/\*|syntax\b|package\b|import\b|option\b|message\b|enum\b|service\b)", re.I)
 
 
@@ -116,6 +176,10 @@ def canonical(text: str, memo: dict | None = None) -> str:
     if t[:1] in ("{", "["):
         try:
             return _member("", json.loads(t), memo)
+        except (ValueError, RecursionError):
+            pass
+        try:
+            return _member("", _loose(t), memo)
         except (ValueError, RecursionError):
             return word(t)
     return _code(t) if _PROTO.match(t) else word(t)

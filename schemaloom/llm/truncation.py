@@ -45,7 +45,8 @@ _PADDING = "\0�"
 _STUB = re.compile(rf"(?:{'|'.join(STUBS)})\Z")
 _LAST = re.compile(r"[^\W\d_]+\Z")
 _ENTITY = re.compile(r"&(?:[a-zA-Z]{1,7}|#\d{0,6}|#x[0-9a-fA-F]{0,5})?\Z")
-_CLOSED = re.compile(r"[.!?:;。！？][\"'”’»)\]*]*\Z")
+_CLOSED = re.compile(r"[.!?。！？][\"'”’»)\]]*\Z")
+_MARKUP_LINE = re.compile(r"(?:\[\[[^\[\]]*\]\]|\[[^\[\]]*\]|\{\{[^{}]*(?:\{\{[^{}]*\}\}[^{}]*)*\}\}|\s)+\Z")
 _TRAIL = re.compile(r"(?:\s*(?:<ref\b[^<>]*/>|<ref\b[^<>]*>[^<]*</ref\s*>|\{\{[^{}]*\}\}|</?[a-zA-Z][^<>]*>))+\Z", re.I)
 _OPEN_TAG = re.compile(r"<(?:/?[a-zA-Z][^<>]*|!-{0,2}|/)?\Z")
 _PAIRED = re.compile(r"<(/?)(ref|nowiki|blockquote|p|b|i|small|sup|sub|div|span|math|code|pre|gallery)\b[^<>]*?(/?)>", re.I)
@@ -142,9 +143,8 @@ def describe(text: str) -> tuple[str, str, str, bool]:
         return "omitted", last, phrase, whole
     if line.startswith(("*", "#", ";", ":", "|", "=", "{|", "!")):
         return ("item" if last and not line.endswith("=") else "closed"), last, phrase, whole
-    if _CLOSED.search(line) or _CLOSED.search(_TRAIL.sub("", line)) or line.endswith(("]]", "}}", "|}", "/>", "]", "-->")):
-        return "closed", "", phrase, whole
-    if _TRAIL.search(line) and not _TRAIL.sub("", line):
+    said = _TRAIL.sub("", line).rstrip()  # what stands before closing references, templates and tags
+    if not said or _CLOSED.search(said) or _MARKUP_LINE.match(line) or line.endswith(("}}", "|}", "-->")) and not line[:1].isalnum():
         return "closed", "", phrase, whole
     if _STUB.search(line):
         return "stub", last, phrase, whole
