@@ -1,0 +1,94 @@
+"""Command line: migrate, validate, version."""
+
+from __future__ import annotations
+
+import argparse
+import logging
+import os
+import sys
+
+import schemaloom
+from schemaloom import config as cfg
+
+#: Flag, section.setting it overrides, kind.
+FLAGS = (
+    ("--registry-names", "aws.registry_names", "list"),
+    ("--registry-all", "aws.registry_all", "flag"),
+    ("--registry-exclude", "aws.registry_exclude", "list"),
+    ("--schema-filter", "aws.schema_filter", "text"),
+    ("--target-url", "confluent_cloud.url", "text"),
+    ("--subject-strategy", "naming.subject_strategy", "text"),
+    ("--context-mapping", "naming.context_mapping", "text"),
+    ("--name-mapping-file", "naming.name_mapping_file", "text"),
+    ("--version-strategy", "migration.version_strategy", "text"),
+    ("--workers", "concurrency.workers", "int"),
+    ("--checkpoint-file", "checkpoint.file", "text"),
+    ("--report-file", "output.report_file", "text"),
+    ("--dry-run", "output.dry_run", "flag"),
+    ("--log-level", "output.log_level", "text"),
+)
+
+
+def parser() -> argparse.ArgumentParser:
+    p = argparse.ArgumentParser(prog="schemaloom")
+    sub = p.add_subparsers(dest="command", required=True)
+    m = sub.add_parser("migrate", help="plan a migration and carry it out")
+    m.add_argument("--config")
+    m.add_argument("--catalog", required=True, help="folder of the catalog's tables")
+    for flag, _, kind in FLAGS:
+        m.add_argument(flag, default=None, **({"action": "store_true"} if kind == "flag" else {"nargs": "*"} if kind == "list" else {"type": int} if kind == "int" else {}))
+    v = sub.add_parser("validate", help="check a configuration file")
+    v.add_argument("--config")
+    sub.add_parser("version")
+    return p
+
+
+def merged(args: argparse.Namespace) -> cfg.Config:
+    """The file's settings, with the flags that were given on top and keys from the environment."""
+    c = cfg.load(args.config) if args.config else cfg.Config()
+    for flag, path, _ in FLAGS:
+        given = getattr(args, flag[2:].replace("-", "_"))
+        if given is not None:
+            section, _, name = path.partition(".")
+            setattr(getattr(c, section), name, given)
+    c.confluent_cloud.api_key = os.environ.get("CC_API_KEY", c.confluent_cloud.api_key)
+    c.confluent_cloud.api_secret = os.environ.get("CC_API_SECRET", c.confluent_cloud.api_secret)
+    return c
+
+
+def main(argv: list[str] | None = None) -> int:
+    args = parser().parse_args(argv)
+    if args.command == "version":
+        print(schemaloom.__version__)
+        return 0
+    try:
+        if args.command == "validate":
+            cfg.check(cfg.load(args.config) if args.config else cfg.Config())
+            print("configuration is valid")
+            return 0
+        c = cfg.check(merged(args))
+    except cfg.ConfigError as e:
+        print(e, file=sys.stderr)
+        return 1
+    logging.basicConfig(level=c.output.log_level.upper(), filename=c.output.log_file or None)
+    from schemaloom.plans import plan
+    from schemaloom.session import local_session
+    from schemaloom.sinks.registry import HttpTarget
+
+    spark = local_session(c.concurrency.workers)
+    p = plan.build(spark, args.catalog, c)
+    if c.output.report_file:
+        plan.write_report(p, c.output.report_file, "csv" if c.output.format == "csv" else "json")
+    if c.output.dry_run:
+        plan.show(p)
+        return 0
+    target = c.confluent_cloud
+    done = plan.execute(spark, p, c, c.checkpoint.file or "ledger", lambda: HttpTarget(target.url, target.api_key, target.api_secret))
+    failed = done.where("not ok")
+    done.groupBy("level", "ok").count().orderBy("level").show()
+    failed.show(50, truncate=False)
+    return 1 if failed.limit(1).count() else 0
+
+
+if __name__ == "__main__":
+    sys.exit(main())

@@ -22,3 +22,7 @@ QUERIES = {
 }
 
 ORACLE = dict(oracle.SQL)
+from schemaloom.plans import reference_queries  # noqa: E402
+
+QUERIES |= reference_queries.QUERIES
+ORACLE |= reference_queries.ORACLE
