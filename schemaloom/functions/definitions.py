@@ -327,9 +327,11 @@ def _all(fields: dict[str, Node], prefix: str, what: str, out: list) -> None:
         out.append((path, what, path, node.sig + ("?" if node.nullable else "")))
 
 
-def changes(old: dict[str, Node], new: dict[str, Node], old_at: str = "", new_at: str = "", out: list | None = None) -> list[tuple[str, str, str, str]]:
+def changes(old: dict[str, Node], new: dict[str, Node], old_at: str = "", new_at: str = "", out: list | None = None, kept: list | None = None) -> list[tuple[str, str, str, str]]:
     """(path, change, path before, type after) of each difference between two field trees.
 
+    kept, if given, receives (path, path before) of every field that both have.
+
     Fields pair by name; the rest of a container's fields pair as renames by, in this order, a declared old name, the
     same name in another spelling convention, the same documentation and type. What stays is added or removed, with
     everything below it. Order, documentation and defaults do not count.
@@ -354,11 +356,13 @@ def changes(old: dict[str, Node], new: dict[str, Node], old_at: str = "", new_at
     _all(come, new_at, "added", out)
     for o, c in pairs:
         before, after = old_at + o.name, new_at + c.name
+        if kept is not None:
+            kept.append((after, before))
         if o.sig != c.sig or o.nullable != c.nullable:
             out.append((after, "type_changed", before, c.sig + ("?" if c.nullable else "")))
         if o.kids or c.kids:
             for b in {*o.kids, *c.kids}:
-                changes(o.kids.get(b, {}), c.kids.get(b, {}), f"{before}{b}.", f"{after}{b}.", out)
+                changes(o.kids.get(b, {}), c.kids.get(b, {}), f"{before}{b}.", f"{after}{b}.", out, kept)
     return out
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from schemaloom.functions import definitions as D
 from schemaloom.operators.diff import one_per_key
-from schemaloom.session import table
+from schemaloom.session import Workspace, table
 
 STEPS = "registry_name string, schema_name string, version_number long, field_path string, change string, old_path string, new_type string"
 _KEYS = ["registry_name", "schema_name", "version_number"]
@@ -96,15 +96,130 @@ def migration_steps(versions: DataFrame) -> DataFrame:
     versions: registry_name, schema_name, version_number, definition, status, ingested_at. change is added, removed,
     renamed or type_changed; old_path is the path before and new_type the type after (of a removed field, its own).
     """
-    v = versions.where((F.col("status") == "AVAILABLE") & F.col("definition").rlike(r"\A[\s﻿]*[{\[]") & F.col("version_number").isNotNull() & F.col("registry_name").isNotNull() & F.col("schema_name").isNotNull())
-    order = [*(F.col(k) for k in _KEYS), F.col("ingested_at").desc_nulls_last()]
-    v = v.select(*_KEYS, "definition", "ingested_at").repartitionByRange(*order).sortWithinPartitions(*order).select(*_KEYS, "definition")
-    found = v.mapInArrow(_within, STEPS + ", slice int, seq int, definition string")
+    found = _sliced(versions).mapInArrow(_within, STEPS + ", slice int, seq int, definition string")
     # Two edge rows per slice go to one task, the steps anywhere.
     where = F.when(F.col("slice").isNotNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64("registry_name", "schema_name", "version_number"), F.lit(1 << 20)))
     return found.repartition(where).mapInArrow(_between, STEPS)
 
 
+def _sliced(versions: DataFrame) -> DataFrame:
+    """The AVAILABLE versions with text that may be JSON, range-partitioned and sorted by schema and version number."""
+    v = versions.where((F.col("status") == "AVAILABLE") & F.col("definition").rlike(r"\A[\s﻿]*[{\[]") & F.col("version_number").isNotNull() & F.col("registry_name").isNotNull() & F.col("schema_name").isNotNull())
+    order = [*(F.col(k) for k in _KEYS), F.col("ingested_at").desc_nulls_last()]
+    return v.select(*_KEYS, "definition", "ingested_at").repartitionByRange(*order).sortWithinPartitions(*order).select(*_KEYS, "definition")
+
+
+# --- one consistent table --------------------------------------------------------------------------------
+
+TRACE = "registry_name string, schema_name string, version_number long, field_path string, type string, field_id string, slice int, is_head boolean, seq int, definition string, ids array<string>"
+_TRACE_NAMES = [x.split()[0] for x in TRACE.split(", ")]
+_TRACE_TYPES = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.bool_(), pa.int32(), pa.string(), pa.list_(pa.string())]
+
+
+def _types(fields: dict) -> dict[str, str]:
+    return {p: n.sig + ("?" if n.nullable else "") for p, n in D.flat_fields(fields)}
+
+
+def _carry(before: dict, fields: dict, ids: dict[str, str], version: int, types: dict[str, str]) -> dict[str, str]:
+    """The identity of each field: that of the field it continues, else its path and the version that brought it."""
+    kept: list = []
+    D.changes(before, fields, kept=kept)
+    old = dict(kept)
+    return {p: ids.get(old[p], f"{p}@{version}") if p in old else f"{p}@{version}" for p in types}
+
+
+def _trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The fields of every version with an identity that survives renames, within one slice of the sorted versions."""
+    D.allow_depth()
+    part = TaskContext.get().partitionId()
+    now = first = None
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        cols = list(zip(*rows)) if rows else [[]] * len(_TRACE_TYPES)
+        return pa.record_batch([pa.array(c, t) for c, t in zip(cols, _TRACE_TYPES)], names=_TRACE_NAMES)
+
+    for b in batches:
+        rows: list[tuple] = []
+        for registry, name, version, text in zip(*(b.column(i).to_pylist() for i in range(4))):
+            key = (registry, name, version)
+            if now is not None and now[0] == key:
+                continue
+            doc = D.load(text)
+            fields = D.field_tree(doc) if doc is not None else None
+            if fields is None:
+                continue
+            types = _types(fields)
+            if now is None:
+                first = key
+                rows.append((*key, None, None, None, part, None, 0, text, None))
+            ids = _carry(now[1], fields, now[2], version, types) if now is not None and now[0][:2] == key[:2] else {p: f"{p}@{version}" for p in types}
+            head = key[:2] == first[:2]
+            rows += [(*key, p, t, ids[p], part, head, None, None, None) for p, t in types.items()]
+            now = (key, fields, ids, text)
+        yield batch(rows)
+    if now is not None:
+        yield batch([(*now[0], None, None, None, part, None, 1, now[3], [x for pair in now[2].items() for x in pair])])
+
+
+def _compose(edges: pa.Table) -> pa.Table:
+    """(slice, field_id, earlier_id): identities that go back beyond the start of a slice. Two edges per slice come in."""
+    D.allow_depth()
+    out: list[tuple] = []
+    end = None
+    rows = sorted(edges.to_pylist(), key=lambda r: (r["slice"], r["seq"]))
+    for start, last in zip(rows[::2], rows[1::2]):
+        key = tuple(start[k] for k in _KEYS)
+        earlier: dict[str, str] = {}
+        if end is not None and end[0][:2] == key[:2]:
+            fields = D.field_tree(D.load(start["definition"]))
+            types = _types(fields)
+            ids = dict(end[2]) if end[0] == key else _carry(end[1], fields, end[2], key[2], types)
+            earlier = {f"{p}@{key[2]}": ids[p] for p in types if p in ids and ids[p] != f"{p}@{key[2]}"}
+            out += [(start["slice"], a, b) for a, b in earlier.items()]
+        last_key = tuple(last[k] for k in _KEYS)
+        flat = last["ids"] or []
+        own = dict(zip(flat[::2], flat[1::2]))
+        if last_key[:2] == key[:2]:
+            own = {p: earlier.get(i, i) for p, i in own.items()}
+        end = (last_key, D.field_tree(D.load(last["definition"])), own)
+    cols = list(zip(*out)) if out else [[], [], []]
+    return pa.table({"slice": pa.array(cols[0], pa.int32()), "field_id": pa.array(cols[1], pa.string()), "earlier_id": pa.array(cols[2], pa.string())})
+
+
+def consistent_fields(versions: DataFrame) -> DataFrame:
+    """(schema, version_number, field_path, type, field_id): each version's fields under identities that outlive renames.
+
+    field_id is the path and version under which the field first appeared. Versions are sliced as for
+    migration_steps; the identities across slices are composed from two edge rows per slice.
+    """
+    work = Workspace(versions.sparkSession, "drift")
+    seen = work.save(_sliced(versions).mapInArrow(_trace, TRACE))
+    edges = seen.where("seq is not null").select(*_KEYS, "slice", "seq", "definition", "ids")
+    earlier = edges.groupBy(F.lit("all")).applyInArrow(_compose, "slice int, field_id string, earlier_id string")
+    rows = seen.where("seq is null").withColumn("head_slice", F.when(F.col("is_head"), F.col("slice")))
+    j = rows.join(earlier.withColumnRenamed("slice", "head_slice"), ["head_slice", "field_id"], "left")
+    return j.select(*_KEYS, "field_path", "type", F.coalesce("earlier_id", "field_id").alias("field_id"))
+
+
+def field_table(spark, sf_dir: str) -> DataFrame:
+    """One row per field of a schema across all its versions: its name and type now, its life, its names and types."""
+    f = consistent_fields(_versions(spark, sf_dir))
+    last = F.max_by(F.struct("field_path", "type"), "version_number").alias("now")
+    g = f.groupBy("registry_name", "schema_name", "field_id").agg(last, F.min("version_number").alias("first_version"), F.max("version_number").alias("last_version"), F.count("*").alias("n_versions"), F.countDistinct("field_path").alias("n_names"), F.countDistinct("type").alias("n_types"))
+    return g.select("registry_name", "schema_name", "field_id", F.col("now.field_path").alias("field_path"), F.col("now.type").alias("type"), "first_version", "last_version", "n_versions", "n_names", "n_types")
+
+
+def apply_steps(rows: DataFrame, renames: dict[str, str], defaults: dict[str, tuple[str, object]], casts: dict[str, str]) -> DataFrame:
+    """Rows of one version in the shape of the next: columns renamed, then those that are missing added, then cast.
+
+    Chained over the versions of a file's fingerprint it brings every file into one table. A value that does not cast
+    becomes null.
+    """
+    out = rows.select(*(F.col(f"`{c}`").alias(renames.get(c, c)) for c in rows.columns))
+    out = out.select("*", *(F.lit(v).cast(t).alias(c) for c, (t, v) in defaults.items() if c not in out.columns))
+    return out.select(*(F.col(f"`{c}`").try_cast(casts[c]).alias(c) if c in casts else F.col(f"`{c}`") for c in out.columns))
+
+
 def _versions(spark, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "glue_versions", *_KEYS, "definition", "status", "ingested_at")
 

@@ -14,6 +14,7 @@ QUERIES = {
     "p2_top_level": flatten.top_level_table,
     "p3_found": drift.schema_changes,
     "p3_steps": drift.changes_with_compatibility,
+    "p3_fields": drift.field_table,
     "p3_by_registry": drift.changes_per_month,
     "p4_found": hierarchy.roots_and_depths,
     "p4_hierarchy": hierarchy.schema_hierarchy,
