@@ -43,14 +43,16 @@ def separate(links: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
     nodes = links.where("key is not null").groupBy("key").agg(F.min("parent").alias("parent"))
     known = nodes.select(F.col("key").alias("parent"), F.lit(True).alias("known"))
     nodes = work.save(nodes.join(known, "parent", "left").select("key", F.when(F.col("known"), F.col("parent")).alias("parent")))
-    total = nodes.count()
+    before = None
     state = work.save(nodes.select("key", "parent", F.col("parent").alias("jump"), F.col("parent").alias("least"), F.lit(1).cast("long").alias("size")))
     reach = 1
     while True:
         open_nodes = state.where("jump is not null").count()
-        # A path that has not ended after as many steps as there are open nodes never ends.
-        if open_nodes == 0 or reach > open_nodes or reach > total:
+        # Each round closes the nodes of depth reach / 2 to reach, so a round that closes none leaves cyclic nodes only;
+        # those need to see as many steps as there are of them.
+        if open_nodes == 0 or open_nodes == before and reach > open_nodes:
             break
+        before = open_nodes
         below = state.where("jump is not null").groupBy(F.col("jump").alias("key")).agg(F.sum("size").alias("gained"))
         far = state.where("jump is not null").select(F.col("key").alias("jump"), F.col("jump").alias("next"), F.col("least").alias("next_least"))
         step = state.join(far, "jump", "left").join(below, "key", "left")
