@@ -31,7 +31,7 @@ SALTS = 64
 UNORDERED = frozenset({"fields", "required"})
 
 _DROP = re.compile(r"[\W_]+")
-_DECIMAL = re.compile(r"(?<=\d)[.,](?=\d)")
+_DECIMAL = re.compile(r"(?<=\d)\.(?=\d)")
 _CODE = re.compile(r"//[^\n]*|/\*.*?\*/|\"(?:\\.|[^\"\\])*\"|'(?:\\.|[^'\\])*'|[{};]|[^{};\"'/]+|/", re.S)
 
 
