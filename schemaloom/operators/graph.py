@@ -11,10 +11,13 @@ from schemaloom.operators.references import resolve
 from schemaloom.session import Workspace
 
 
-def edges(nodes: DataFrame) -> DataFrame:
-    """(src, dst): src refers to dst; nodes has registry_name, name, references. Loops on oneself are left out."""
+def edges(nodes: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+    """(src, dst): src refers to dst; nodes has registry_name, name, references. Loops on oneself are left out.
+
+    References are resolved among targets(registry_name, name), by default among the nodes themselves.
+    """
     refs = nodes.select(schema_key("registry_name", "name").alias("src"), "registry_name", F.explode("references").alias("ref"))
-    found = refs.join(resolve(refs, nodes), ["registry_name", "ref"]).select("src", F.col("target").alias("dst"))
+    found = refs.join(resolve(refs, nodes if targets is None else targets), ["registry_name", "ref"]).select("src", F.col("target").alias("dst"))
     return found.where("dst is not null and src <> dst").distinct()
 
 

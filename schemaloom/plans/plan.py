@@ -47,7 +47,7 @@ def build(spark, sf_dir: str, c: Config) -> Plan:
     mapped = mapped.join(refs, ["source_registry", "source_schema_name"], "left").withColumn("references", F.coalesce("references", F.array().cast("array<string>")))
     if c.normalization.collision_check:
         mapped = M.resolve_collisions(mapped, c.normalization.collision_resolution)
-    return Plan(schemas, versions, mapped, G.edges(parsed), M.findings(mapped, c.migration.reference_strategy))
+    return Plan(schemas, versions, mapped, G.edges(parsed, schemas), M.findings(mapped, c.migration.reference_strategy))
 
 
 def summary(p: Plan) -> DataFrame:

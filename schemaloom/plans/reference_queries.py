@@ -363,6 +363,9 @@ def _(spark, d):
 EDGES = f"""{PS}, r as (select k, registry_name, unnest(refs) ref from P where len(refs)>0), byname as (select "name", min(k) k from P group by 1), E as (select distinct r.k src, case when a.k is not null then a.k when o.k is not null then o.k else n.k end dst from r left join P a on a.k=r.ref left join P o on o.k=r.registry_name||':'||r.ref left join byname n on n."name"=r.ref), G as (select src, dst from E where dst is not null and src<>dst)"""
 
 
+PLAN_EDGES = f"""{PS}, r as (select k, registry_name, unnest(refs) ref from P where len(refs)>0), N as (select registry_name, "name", registry_name||':'||"name" k from S), byname as (select "name", min(k) k from N group by 1), E as (select distinct r.k src, case when a.k is not null then a.k when o.k is not null then o.k else n.k end dst from r left join N a on a.k=r.ref left join N o on o.k=r.registry_name||':'||r.ref left join byname n on n."name"=r.ref), G as (select src, dst from E where dst is not null and src<>dst)"""
+
+
 @query("reference_edges", f"with {EDGES} select src, dst from G")
 def _(spark, d):
     return G.catalog_edges(spark, d)
@@ -473,7 +476,7 @@ def _(spark, d):
     return plan.summary(_plan(spark, d))
 
 
-@query("plan_by_registry", f"""with {EDGES}, {SV}, C as (select split_part(src,':',1) g, count(*) n from G where split_part(src,':',1)<>split_part(dst,':',1) group by 1) select SV.registry_name source_registry, count(*) n_schemas, sum(n_versions)::bigint n_versions, coalesce(max(C.n),0) cross_refs from SV left join C on C.g=SV.registry_name group by 1""")
+@query("plan_by_registry", f"""with {SV}, {PLAN_EDGES}, C as (select split_part(src,':',1) g, count(*) n from G where split_part(src,':',1)<>split_part(dst,':',1) group by 1) select SV.registry_name source_registry, count(*) n_schemas, sum(n_versions)::bigint n_versions, coalesce(max(C.n),0) cross_refs from SV left join C on C.g=SV.registry_name group by 1""")
 def _(spark, d):
     return plan.by_registry(_plan(spark, d))
 

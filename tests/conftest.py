@@ -29,7 +29,7 @@ def day(n: int) -> dt.datetime:
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session(4, 4, "tests")
+    s = local_session(4, 2, "tests")
     yield s
     s.stop()
 
