@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,22 +33,23 @@ def levels(keys: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     work = Workspace(keys.sparkSession, "levels")
     edges = work.save(edges)
     waits = edges.groupBy(F.col("src").alias("key")).agg(F.count("*").alias("n"))
-    open_ = work.save(keys.select("key").distinct().join(waits, "key", "left").withColumn("n", F.coalesce("n", F.lit(0))))
-    done, level = [], 0
+    state = keys.select("key").distinct().join(waits, "key", "left").select("key", F.coalesce("n", F.lit(0)).alias("n"))
+    done, level, old = [], 0, None
     while True:
-        front = work.save(open_.where("n = 0").select("key", F.lit(level).alias("level")))
-        if not front.limit(1).count():
+        parts = work.split(state.withColumn("free", F.col("n") <= 0), "free")
+        work.drop(old)
+        front, old = parts.get("true"), parts.get("false")
+        if front is None:
+            break
+        done.append(front.select("key", F.lit(level).alias("level")))
+        if old is None:
             break
-        done.append(front)
         freed = edges.join(front.select(F.col("key").alias("dst")), "dst", "left_semi").groupBy(F.col("src").alias("key")).agg(F.count("*").alias("k"))
-        old = open_
-        open_ = work.save(open_.where("n > 0").join(freed, "key", "left").select("key", (F.col("n") - F.coalesce("k", F.lit(0))).alias("n")))
-        work.drop(old)
+        state = old.join(freed, "key", "left").select("key", (F.col("n") - F.coalesce("k", F.lit(0))).alias("n"))
         level += 1
-    if not done:
-        return keys.select("key", F.lit(0).alias("level")).where("false"), open_.select("key")
-    out = keys.sparkSession.read.schema(done[0].schema).parquet(*[d._loom_path for d in done])
-    return out, open_.select("key")
+    none = keys.select("key").where("false")
+    found = work.save(reduce(DataFrame.unionByName, done)) if done else none.withColumn("level", F.lit(0))
+    return found, old.select("key") if old is not None else none
 
 
 def observed_level(keys: DataFrame, edges: DataFrame) -> DataFrame:

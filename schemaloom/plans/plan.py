@@ -27,6 +27,7 @@ class Plan:
     mappings: DataFrame
     edges: DataFrame
     findings: DataFrame
+    reference_strategy: str
 
 
 def build(spark, sf_dir: str, c: Config) -> Plan:
@@ -47,20 +48,21 @@ def build(spark, sf_dir: str, c: Config) -> Plan:
     mapped = mapped.join(refs, ["source_registry", "source_schema_name"], "left").withColumn("references", F.coalesce("references", F.array().cast("array<string>")))
     if c.normalization.collision_check:
         mapped = M.resolve_collisions(mapped, c.normalization.collision_resolution)
-    return Plan(schemas, versions, mapped, G.edges(parsed, schemas), M.findings(mapped, c.migration.reference_strategy))
+    return Plan(schemas, versions, mapped, G.edges(parsed, schemas), M.findings(mapped, c.migration.reference_strategy), c.migration.reference_strategy)
 
 
 def summary(p: Plan) -> DataFrame:
-    """One row: registries, schemas, versions, references, and mappings by status."""
-    m = p.mappings.agg(
+    """One row: registries, schemas, versions, references, and mappings by status. The mappings are computed once."""
+    mappings = Workspace(p.mappings.sparkSession, "summary").save(p.mappings)
+    m = mappings.agg(
         F.countDistinct("source_registry").alias("registries"),
         F.count("*").alias("schemas"),
         F.coalesce(F.sum("source_versions"), F.lit(0)).alias("versions"),
         F.coalesce(F.sum(F.size("references")), F.lit(0)).alias("references"),
         *(F.count(F.when(F.col("status") == s, 1)).alias(n) for s, n in (("ready", "ready"), ("error", "errors"), ("skipped", "skipped"))),
     ).withColumn("one", F.lit(1))
-    w = p.findings.agg(F.count(F.when(F.col("severity") == "warning", 1)).alias("warnings")).withColumn("one", F.lit(1))
-    k = M.collisions(p.mappings.where("status <> 'skipped'")).agg(F.count("*").alias("collisions")).withColumn("one", F.lit(1))
+    w = M.findings(mappings, p.reference_strategy).agg(F.count(F.when(F.col("severity") == "warning", 1)).alias("warnings")).withColumn("one", F.lit(1))
+    k = M.collisions(mappings.where("status <> 'skipped'")).agg(F.count("*").alias("collisions")).withColumn("one", F.lit(1))
     return m.join(w, "one").join(k, "one").drop("one")
 
 

@@ -67,6 +67,24 @@ class Workspace:
         back._loom_path = path
         return back
 
+    def split(self, df: DataFrame, column: str) -> dict[str, DataFrame]:
+        """Writes df once, split by a boolean column, and returns the readers of the parts that have rows.
+
+        Whether a part has rows is told by its folder, without a job.
+        """
+        self.count += 1
+        path = f"{self.root}/{self.count:04d}"
+        df.write.mode("overwrite").partitionBy(column).parquet(path)
+        rest = df.drop(column).schema
+        out = {}
+        for value in ("true", "false"):
+            at = f"{path}/{column}={value}"
+            p = self.spark._jvm.org.apache.hadoop.fs.Path(at)
+            if p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p):
+                out[value] = self.spark.read.schema(rest).parquet(at)
+                out[value]._loom_path = at
+        return out
+
     def drop(self, df: DataFrame | None) -> None:
         """Deletes a table that save() wrote, once nothing reads it any more."""
         path = getattr(df, "_loom_path", None)
