@@ -125,12 +125,10 @@ def resolve_collisions(mappings: DataFrame, how: str = "suffix", observed: bool
     """
     if how not in ("suffix", "registry-prefix", "prefer-shorter", "skip"):
         return mappings
-    w = Window.partitionBy("_target")
-    order = ([F.octet_length("source_schema_name")] if how == "prefer-shorter" else []) + [F.col(x) for x in _SOURCE]
-    d = mappings.withColumn("_target", full_target()).withColumn("_n", F.count("*").over(w)).withColumn("_i", F.row_number().over(w.orderBy(*order)) - 1)
+    d = _ranked(mappings.withColumn("_target", F.coalesce(full_target(), F.lit(""))), how == "prefer-shorter")
     clash, later = F.col("_n") > 1, F.col("_i") > 0
     if how == "suffix":
-        mark = F.char(F.col("_i") + ord("0")) if observed else F.col("_i").cast("string")
+        mark = F.char((F.col("_i") + ord("0")).cast("int")) if observed else F.col("_i").cast("string")
         new, log = F.when(later, F.concat("target_subject", F.lit("-"), mark)), F.when(later, F.lit("collision-suffix"))
     elif how == "registry-prefix":
         new, log = F.when(clash, F.concat("source_registry", F.lit("-"), "target_subject")), F.when(clash, F.lit("registry-prefix"))
@@ -141,6 +139,21 @@ def resolve_collisions(mappings: DataFrame, how: str = "suffix", observed: bool
     return d.withColumn("target_subject", F.coalesce(new, F.col("target_subject"))).drop("_target", "_n", "_i")
 
 
+def _ranked(d: DataFrame, by_length: bool) -> DataFrame:
+    """d with _n, the members of its _target, and _i, its place among them by (length,) registry and name.
+
+    Places are counted within slices of a target (registry and beginning of the name, which keep the order) and put
+    together from the slices' sizes, so that a target of very many schemas is no single task's work.
+    """
+    slice_ = F.struct(*([F.octet_length("source_schema_name").alias("len")] if by_length else []), F.coalesce("source_registry", F.lit("")).alias("reg"), F.coalesce(F.substring("source_schema_name", 1, 3), F.lit("")).alias("start"))
+    d = d.withColumn("_slice", slice_)
+    sizes = d.groupBy("_target", "_slice").agg(F.count("*").alias("_k"))
+    all_, before = Window.partitionBy("_target"), Window.partitionBy("_target").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_target", "_slice", F.sum("_k").over(all_).alias("_n"), F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_base"))
+    here = F.row_number().over(Window.partitionBy("_target", "_slice").orderBy("source_schema_name")) - 1
+    return d.withColumn("_here", here).join(sizes, ["_target", "_slice"]).withColumn("_i", F.col("_base") + F.col("_here")).drop("_slice", "_here", "_base")
+
+
 # --- checks --------------------------------------------------------------------------------------------
 
 
