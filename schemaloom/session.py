@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,8 +30,31 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: st
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends the package to the executors, once per application, so that their Python workers can import it."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    _shipped.add(app)
+    here = os.path.dirname(os.path.abspath(__file__))
+    if not os.path.isdir(here):  # imported from a zip that is on the executors already
+        return
+    at = os.path.join(tempfile.mkdtemp(prefix="schemaloom-code-"), "schemaloom.zip")
+    with zipfile.ZipFile(at, "w") as z:
+        for folder, _, names in os.walk(here):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(here)))
+    spark.sparkContext.addPyFile(at)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """One of the Parquet tables, narrowed to `columns` so that the scan reads no others."""
+    ship(spark)
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df
 
