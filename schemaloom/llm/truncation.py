@@ -56,12 +56,22 @@ END = "doc_id long, source string, page_id long, word string, n long, state stri
 
 
 def unit(line: str) -> str:
-    """A line in lower case, repeats of itself collapsed: LOLLOLLOL and lol are one."""
+    """A line in lower case, repeats of itself collapsed: LOLLOLLOL and lol are one.
+
+    The last repeat may be cut short, if what repeats has eight characters or more.
+    """
     s = line.strip().casefold()
     if not s:
         return s
-    k = (s + s).find(s, 1)
-    return s[:k].strip()
+    p = (s + s).find(s, 1)
+    if p < len(s):
+        return s[:p].strip()
+    p = s.find(s[:8], 8)
+    while 0 < p <= len(s) // 2:
+        if s.startswith(s[p:]):
+            return s[:p].strip()
+        p = s.find(s[:8], p + 1)
+    return s
 
 
 def _opened(text: str, line: str) -> bool:

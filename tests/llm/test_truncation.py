@@ -42,6 +42,7 @@ def test_ends(text, state):
 
 def test_unit():
     assert truncation.unit("LOL No WAYLOL No WAY") == "lol no way" and truncation.unit("wait...wait...") == "wait..." and truncation.unit("") == ""
+    assert truncation.unit("HELLO HELLO HELLOHELLO HELLO HELLOHELLO HE") == "hello hello hello" and truncation.unit("so long and so on") == "so long and so on"
 
 
 def test_trie(spark):
