@@ -1,8 +1,8 @@
 """Filling containers of fixed capacity: best-two-fit over blocks of items.
 
 A text's size is its number of tokens; a text longer than the capacity is cut into full containers and a remainder,
-any other stays whole. Items are spread over blocks by a hash of their identifier, some ten thousand to a block, and
-each block is packed on its own: the sizes in a block are a random sample of all sizes, so a block's waste is that of
+any other stays whole. Items are spread over blocks by a hash of their row, some ten thousand to a block, whatever
+their identifiers, and each block is packed on its own: the sizes in a block are a random sample of all sizes, so a block's waste is that of
 the whole plus at most one part-filled container.
 
 Within a block containers are filled greedily, largest item that fits first; then the container's smallest item is
@@ -140,9 +140,9 @@ def pieces(counts: DataFrame, capacity: int) -> DataFrame:
 def pack(counts: DataFrame, capacity: int = CAPACITY, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """(block, container, id, piece, first_token, n_tokens): where each item of counts(id, n_tokens) went."""
     work = Workspace(counts.sparkSession, "packing")
-    items = work.save(pieces(counts, capacity))
+    items = work.save(pieces(counts, capacity).withColumn("row", F.monotonically_increasing_id()))
     blocks = max(1, -(-items.count() // block_items))
-    items = items.withColumn("block", F.pmod(F.xxhash64("id", "piece"), F.lit(blocks)))
+    items = items.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks))).drop("row")
     return items.groupBy("block").applyInArrow(_pack(capacity), "block long, container long, id long, piece long, first_token long, n_tokens long")
 
 
