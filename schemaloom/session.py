@@ -80,7 +80,7 @@ class Workspace:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+        self.root = f"{shared_dir(spark)}/schemaloom-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
         self.count = 0
 
     def save(self, df: DataFrame) -> DataFrame:
@@ -120,5 +120,11 @@ class Workspace:
         p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def clean(spark: SparkSession) -> None:
+    """Deletes this application's intermediate tables; results that still read them must be written before."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/schemaloom-{spark.sparkContext.applicationId}")
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
