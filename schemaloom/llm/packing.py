@@ -2,8 +2,8 @@
 
 A text's size is its number of tokens; a text longer than the capacity is cut into full containers and a remainder,
 any other stays whole. Items are spread over blocks by a hash of their row, some ten thousand to a block, whatever
-their identifiers, and each block is packed on its own: the sizes in a block are a random sample of all sizes, so a block's waste is that of
-the whole plus at most one part-filled container.
+their identifiers, and each block is packed on its own: the sizes in a block are a random sample of all sizes, so a
+block's waste is that of the whole plus at most one part-filled container.
 
 Within a block containers are filled greedily, largest item that fits first; then the container's smallest item is
 replaced by the two unpacked items that fit its expanded gap most tightly, if they leave less unused than it did.
@@ -15,7 +15,7 @@ ties in size go to the smaller identifier; an empty table gives no containers.
 from __future__ import annotations
 
 import base64
-from bisect import bisect_left, bisect_right, insort
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
