@@ -40,14 +40,14 @@ LIMIT_TEXTS, LIMIT_TIMES, NEARBY = 5, 8, 40
 STUBS = (r"\bpop\. \d+", r"\bon \d{1,2} \w+ \d{4}")
 
 _WORD = re.compile(r"[^\W\d_]+")
-_OMITTED = re.compile(r"(?:\s*(?:\[\s*(?:\.\.\.|…|more)\s*\]|\(\s*(?:\.\.\.|…|more)\s*\)|\.\.\.+|…))+\Z", re.I)
+# Lines have any length: a run of spaces or dots is entered at its start only, so that none is read again from each place.
+_OMITTED = re.compile(r"(?<!\s)(?:\s*(?:\[\s*(?:\.\.\.|…|more)\s*\]|\(\s*(?:\.\.\.|…|more)\s*\)|(?<!\.)\.{3,}+|…))+\Z", re.I)
 _PADDING = "\0�"
 _STUB = re.compile(rf"(?:{'|'.join(STUBS)})\Z")
-_LAST = re.compile(r"[^\W\d_]+\Z")
 _ENTITY = re.compile(r"&(?:[a-zA-Z]{1,7}|#\d{0,6}|#x[0-9a-fA-F]{0,5})?\Z")
 _CLOSED = re.compile(r"[.!?。！？][\"'”’»)\]]*\Z")
 _MARKUP_LINE = re.compile(r"(?:\[\[[^\[\]]*\]\]|\[[^\[\]]*\]|\{\{[^{}]*(?:\{\{[^{}]*\}\}[^{}]*)*\}\}|\s)+\Z")
-_TRAIL = re.compile(r"(?:\s*(?:<ref\b[^<>]*/>|<ref\b[^<>]*>[^<]*</ref\s*>|\{\{[^{}]*\}\}|</?[a-zA-Z][^<>]*>))+\Z", re.I)
+_TRAIL = re.compile(r"(?<!\s)(?:\s*(?:<ref\b[^<>]*/>|<ref\b[^<>]*>[^<]*</ref\s*>|\{\{[^{}]*\}\}|</?[a-zA-Z][^<>]*>))+\Z", re.I)
 _OPEN_TAG = re.compile(r"<(?:/?[a-zA-Z][^<>]*|!-{0,2}|/)?\Z")
 _PAIRED = re.compile(r"<(/?)(ref|nowiki|blockquote|p|b|i|small|sup|sub|div|span|math|code|pre|gallery)\b[^<>]*?(/?)>", re.I)
 _HEAD = re.compile(r"\A(=+).*?(=*)\s*\Z", re.S)
@@ -74,6 +74,14 @@ def unit(line: str) -> str:
     return s
 
 
+def _last_word(s: str) -> str:
+    """The word in which s ends, if it ends in one."""
+    at = len(s)
+    while at and _WORD.match(s, at - 1):
+        at -= 1
+    return s[at:]
+
+
 def _opened(text: str, line: str) -> bool:
     """Whether the end lies in markup that was begun and not closed."""
     if line.rfind("[[") > line.rfind("]]"):
@@ -132,19 +140,18 @@ def describe(text: str) -> tuple[str, str, str, bool]:
     raw = bare if padded else t
     shown = raw.rstrip()
     whole = "\n" not in shown.strip()
-    tail = shown[-4000:]
-    if "&" in tail:
-        cut_entity = bool(_ENTITY.search(tail))
-        tail = html.unescape(html.unescape(tail)) if not cut_entity else tail
+    line = end = shown.rpartition("\n")[2]
+    if "&" in end:
+        cut_entity = bool(_ENTITY.search(end))
+        line = html.unescape(html.unescape(end)) if not cut_entity else end
     else:
         cut_entity = False
-    line = tail.rpartition("\n")[2].strip()
+    line = line.rpartition("\n")[2].strip()
     full = shown if "&lt;" not in shown else html.unescape(shown)
-    phrase = unit(shown.rpartition("\n")[2])
+    phrase = unit(end)
     bare_line = _OMITTED.sub("", line)
     omitted = len(bare_line) < len(line)
-    m = _LAST.search(bare_line)
-    last = m.group() if m else ""
+    last = _last_word(bare_line)
     if not line:
         return "closed", "", phrase, whole
     if cut_entity or _opened(_OMITTED.sub("", full) if omitted else full, bare_line or line):
@@ -178,7 +185,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             state, last, line, whole = describe(text)
             found = _WORD.findall(text.lower())
             vocabulary.update(found)
-            if found and _LAST.search(text.rstrip(_PADDING)):
+            if found and _last_word(text.rstrip(_PADDING)):
                 vocabulary[found[-1]] -= 1  # it may be cut
             # Only ends that are in doubt need their word and line; lines that are whole texts are learned from.
             doubt = state in ("open", "omitted", "item", "prose", "stub")

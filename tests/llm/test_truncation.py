@@ -40,6 +40,28 @@ def test_ends(text, state):
     assert truncation.describe(text)[0] == state
 
 
+LONG = "The bridge of Dunmere stands there. " * 150
+
+
+@pytest.mark.parametrize(
+    ("line", "state"),
+    [
+        ("{{quote|" + LONG, "open"),
+        ("{{quote|" + LONG + "}}", "closed"),
+        ("Once<ref>" + LONG, "open"),
+        ("<blockquote>" + LONG, "open"),
+        ("See [http://x.example " + LONG, "open"),
+        ("See [[Dell|" + LONG, "open"),
+        ("'''Olm " + LONG + "''' is a river.", "closed"),
+        ("* " + LONG + "river Dunmere", "item"),
+        (LONG + "river Dunm", "prose"),
+        (LONG + " " * 300_000 + "." * 300_000 + "z" * 300_000 + "!", "closed"),
+    ],
+)
+def test_long_last_lines(line, state):
+    assert len(line) > 4_100 and truncation.describe(WHOLE + "\n\n" + line)[0] == state
+
+
 def test_unit():
     assert truncation.unit("LOL No WAYLOL No WAY") == "lol no way" and truncation.unit("wait...wait...") == "wait..." and truncation.unit("") == ""
     assert truncation.unit("HELLO HELLO HELLOHELLO HELLO HELLOHELLO HE") == "hello hello hello" and truncation.unit("so long and so on") == "so long and so on"
