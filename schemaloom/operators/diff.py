@@ -97,11 +97,23 @@ def text_print(c: Column) -> Column:
     return F.md5(F.regexp_replace(c, r"(?U)\s+", ""))
 
 
+def _pair_key(key: str, source: str | Column) -> Column:
+    """One string for a target key and one of its sources; the target key's length goes first, so that it can be told."""
+    source = F.col(source) if isinstance(source, str) else source
+    return F.concat(F.length(key).cast("string"), F.lit(":"), F.col(key), F.coalesce(source.cast("string"), F.lit("")))
+
+
+def _target_of(pair: str) -> Column:
+    length = F.substring_index(pair, ":", 1)
+    return F.substring(F.col(pair), F.length(length) + 2, length.cast("int"))
+
+
 def catalog_differences(spark, sf_dir: str) -> DataFrame:
     """p1_found(target_key, field) over mappings, glue_schemas, glue_versions, subjects and completed.
 
-    Two runs of diff_copies: one with a row per subject, one with a row per (subject, version number). A definition
-    that is null has no text to compare: against a stored text it is a difference.
+    Two runs of diff_copies: one with a row per (subject, source mapped to it), one with a row per (subject, version
+    number), whose text is the one that came in last. A definition that is null has no text to compare: against a
+    stored text it is a difference.
     """
     work = Workspace(spark, "diff")
     rows = table(spark, sf_dir, "mappings").count() + table(spark, sf_dir, "subjects").count()
@@ -114,20 +126,26 @@ def catalog_differences(spark, sf_dir: str) -> DataFrame:
     schemas = one_per_key(schemas.select(schema_key("registry_name", "name").alias("source"), compatibility_level(F.col("compatibility")).alias("compatibility"), F.upper("data_format").alias("schema_type"), "updated_time"), ["source"], F.col("updated_time")).drop("updated_time")
     ledger = table(spark, sf_dir, "completed", "key", "versions", "completed_at")
     ledger = one_per_key(ledger.select(F.col("key").alias("source"), F.col("versions").alias("ledger_versions"), "completed_at"), ["source"], F.col("completed_at")).select("source", "ledger_versions", F.lit(True).alias("in_ledger"))
-    expected = work.save(mapped.join(schemas, "source", "left").join(ledger, "source", "left"))
+    expected = mapped.join(schemas, "source", "left").join(ledger, "source", "left")
 
     stored = table(spark, sf_dir, "subjects", "context", "name", "compatibility", "schema_type", "versions.version")
     stored = stored.select(target_key("context", "name").alias("key"), compatibility_level(F.col("compatibility")).alias("compatibility"), F.upper("schema_type").alias("schema_type"), F.coalesce(F.size("version"), F.lit(0)).alias("n_versions"))
     stored = work.save(one_per_key(stored.where("key is not null"), ["key"]))
 
     fields = ["compatibility", "schema_type", "completed", "completed_versions"]
-    have = stored.select("key", "n_versions")
+    # Several sources may be mapped to one target: each is compared with what is stored, under a key of its own.
+    held = stored.select("key", F.col("compatibility").alias("held_compatibility"), F.col("schema_type").alias("held_schema_type"), "n_versions", F.lit(True).alias("is_held"))
+    expected = work.save(expected.join(held, "key", "left"))
+    pair = _pair_key("key", "source").alias("key")
     # The ledger's two findings are comparisons too: what the ledger says against what the target holds.
-    left = one_per_key(expected.join(have, "key", "left").select("key", "compatibility", "schema_type", F.coalesce("in_ledger", F.lit(False)).alias("completed"), F.when(F.col("in_ledger"), F.col("ledger_versions")).otherwise(F.col("n_versions")).alias("completed_versions")), ["key"])
-    right = stored.select("key", "compatibility", "schema_type", F.lit(True).alias("completed"), F.col("n_versions").alias("completed_versions"))
+    left = expected.select(pair, "compatibility", "schema_type", F.coalesce("in_ledger", F.lit(False)).alias("completed"), F.when(F.col("in_ledger"), F.col("ledger_versions")).otherwise(F.col("n_versions")).alias("completed_versions"))
+    right = expected.where("is_held").select(pair, F.col("held_compatibility").alias("compatibility"), F.col("held_schema_type").alias("schema_type"), F.lit(True).alias("completed"), F.col("n_versions").alias("completed_versions"))
+    unmapped = stored.join(mapped.select("key").distinct(), "key", "left_anti")
+    right = right.unionByName(unmapped.select(_pair_key("key", F.lit(None)).alias("key"), "compatibility", "schema_type", F.lit(True).alias("completed"), F.col("n_versions").alias("completed_versions")))
     subject_level = diff_copies(left, right, fields, rows=rows, missing_right="subject", missing_left="source")
+    subject_level = subject_level.select(_target_of("key").alias("key"), "field")
 
-    shared = expected.select("key", "source").join(stored.select("key"), "key")
+    shared = expected.where("is_held").select("key", "source")
     defined = table(spark, sf_dir, "glue_versions", "registry_name", "schema_name", "version_number", "definition", "status", "ingested_at").where("status = 'AVAILABLE'")
     defined = defined.select(schema_key("registry_name", "schema_name").alias("source"), "version_number", text_print(F.col("definition")).alias("schema"), "ingested_at")
     defined = defined.join(shared, "source").select("key", "version_number", "schema", "ingested_at")

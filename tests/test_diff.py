@@ -83,6 +83,22 @@ def test_catalog_differences(tables, spark):
     ]
 
 
+def test_every_source_of_a_target_counts(tables, spark):
+    differ = {"format": dict(data_format="JSON"), "level": dict(compatibility="BACKWARD"), "ledger": {}, "count": {}}
+    # Each target has a source that agrees and one that differs, under names that make either the greater.
+    mappings, schemas, subjects, completed = [], [], [], []
+    for what, other in differ.items():
+        for good, bad in (("a", "b"), ("b", "a")):
+            names = {x: f"{what}{good}{x}" for x in (good, bad)}
+            mappings += [_mapping(n, target_subject=f"{what}{good}-value") for n in names.values()]
+            schemas += [_schema(names[good]), _schema(names[bad], **other)]
+            subjects.append(_subject(f"{what}{good}", []))
+            completed += [_done(names[good], 0)] + ([_done(names[bad], 0 if what != "count" else 5 if good == "a" else -5)] if what != "ledger" else [])
+    d = tables(mappings=mappings, glue_schemas=schemas, subjects=subjects, completed=completed)
+    field = {"format": "schema_type", "level": "compatibility", "ledger": "completed", "count": "completed_versions"}
+    assert rows(diff.catalog_differences(spark, d)) == sorted((f".c:{w}{g}-value", field[w]) for w in differ for g in "ab")
+
+
 def test_empty_tables(tables, spark):
     d = tables()
     assert rows(diff.catalog_differences(spark, d)) == [] and rows(diff.catalog_presence(spark, d)) == []
