@@ -50,6 +50,9 @@ _MARKUP_LINE = re.compile(r"(?:\[\[[^\[\]]*\]\]|\[[^\[\]]*\]|\{\{[^{}]*(?:\{\{[^
 _TRAIL = re.compile(r"(?<!\s)(?:\s*(?:<ref\b[^<>]*/>|<ref\b[^<>]*>[^<]*</ref\s*>|\{\{[^{}]*\}\}|</?[a-zA-Z][^<>]*>))+\Z", re.I)
 _OPEN_TAG = re.compile(r"<(?:/?[a-zA-Z][^<>]*|!-{0,2}|/)?\Z")
 _PAIRED = re.compile(r"<(/?)(ref|nowiki|blockquote|p|b|i|small|sup|sub|div|span|math|code|pre|gallery)\b[^<>]*?(/?)>", re.I)
+#: What opens or closes over lines, and what shows that a page went on after an opening that an edit broke: a heading, a
+#: line with a category or another language's link, half of a template's closing. A paragraph's <p> need not be closed.
+_SPANNING = re.compile(r"<!--|-->|\{\{|\}\}|^[ \t:*#;]*\{\||^[ \t]*\|\}(?!\})|[{}]|^==+[^=\n]+==+[ \t]*$|^\[\[(?:Category|Kategorie|Catégorie|Categoría|[a-z]{2,3}):[^\[\]\n]+\]\][ \t]*$|<(/?)(ref|nowiki|blockquote|b|i|small|sup|sub|div|span|math|code|pre|gallery)\b[^<>]*?(/?)>", re.I | re.M)
 _HEAD = re.compile(r"\A(=+).*?(=*)\s*\Z", re.S)
 
 END = "doc_id long, source string, page_id long, word string, n long, state string, last string, line string, whole boolean, n_chars int, n_bytes int"
@@ -82,6 +85,36 @@ def _last_word(s: str) -> str:
     return s[at:]
 
 
+def _unclosed(text: str) -> bool:
+    """Whether a template, table or paired tag is open at the text's end; comments and nowiki hold no markup.
+
+    An opening that an edit broke is not open at the end if the page's headings or categories follow it.
+    """
+    depth: Counter = Counter()
+    inside = ""
+    for m in _SPANNING.finditer(text):
+        token, name = m.group().strip(" \t:*#;"), (m.group(2) or "").lower()
+        if inside:
+            if token == inside or name == inside and m.group(1):
+                inside = ""
+        elif token == "<!--":
+            inside = "-->"
+        elif token in ("{{", "{|", "{"):
+            depth[token] += 1
+        elif token.startswith(("=", "[")):
+            depth.clear()
+        elif token in ("}}", "}", "|}"):
+            opening = "{|" if token == "|}" else "{" if token == "}" and depth["{"] else "{{"
+            depth[opening] = max(0, depth[opening] - 1)
+        elif name and not m.group(3):
+            if name == "nowiki" and not m.group(1):
+                inside = "nowiki"
+            else:
+                depth[name] = max(0, depth[name] - 1) if m.group(1) else depth[name] + 1
+    depth["{"] = 0  # a brace of formulas and parameters, no markup
+    return inside != "" or any(depth.values())
+
+
 def _opened(text: str, line: str) -> bool:
     """Whether the end lies in markup that was begun and not closed."""
     if line.rfind("[[") > line.rfind("]]"):
@@ -111,6 +144,8 @@ def _opened(text: str, line: str) -> bool:
             opened.append(name)
     if opened:
         return True
+    if _unclosed(text):
+        return True
     # Templates may span lines: count back from the end.
     if line.count("{{") > line.count("}}"):
         return True

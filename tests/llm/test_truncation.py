@@ -62,6 +62,29 @@ def test_long_last_lines(line, state):
     assert len(line) > 4_100 and truncation.describe(WHOLE + "\n\n" + line)[0] == state
 
 
+@pytest.mark.parametrize(
+    ("text", "state"),
+    [
+        ("{{quote|\nIt was cold.\nIt was late.", "open"),
+        ("{{quote|\nIt was cold.\nIt was {{{1|late}}}.\n}}\nSo it was.", "closed"),
+        ("{{quote|\n<math>x^{2}</math>\n[[File:Olm.jpg|thumb]]\nIt was late.", "open"),
+        ("{|\n|-\n| a\nIt was late.", "open"),
+        ("{|\n|-\n| a {{b|c\n|}}\n|}\nIt was late.", "closed"),
+        ("So<ref>It was cold.\nIt was late.", "open"),
+        ("So<ref name=a />\nIt was late.", "closed"),
+        ("<blockquote>\nIt was cold.\n\nIt was late.", "open"),
+        ("<gallery>\nOlm.jpg|The river.\nDell.jpg|The dale.", "open"),
+        ("<div>\nIt was cold.\n</div>\nIt was late.", "closed"),
+        ("{{main|Olm} so boring }\n\nIt was late.", "closed"),
+        ("{{main|Olm\n\n== Life ==\n\nIt was late.", "closed"),
+        ("{{main|Olm\n\n[[Category:Olm]]", "closed"),
+        ("<nowiki>{{<ref></nowiki><!-- {{ <div> -->\n}}\nIt was<p>late.\nIt was late.", "closed"),
+    ],
+)
+def test_markup_over_lines(text, state):
+    assert truncation.describe(WHOLE + "\n\n" + text)[0] == state
+
+
 def test_unit():
     assert truncation.unit("LOL No WAYLOL No WAY") == "lol no way" and truncation.unit("wait...wait...") == "wait..." and truncation.unit("") == ""
     assert truncation.unit("HELLO HELLO HELLOHELLO HELLO HELLOHELLO HE") == "hello hello hello" and truncation.unit("so long and so on") == "so long and so on"
