@@ -19,6 +19,7 @@ alike; null sources form a source of their own; an empty table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections import Counter
@@ -77,6 +78,11 @@ def unit(line: str) -> str:
     return s
 
 
+def _line_key(line: str) -> str:
+    """What a line is joined by: itself, or if it is long its first character and 128 bits of it, without last words."""
+    return line if len(line) <= 200 else f"{line[0]}\0{hashlib.md5(line.encode('utf-8', 'surrogatepass')).hexdigest()}"
+
+
 def _last_word(s: str) -> str:
     """The word in which s ends, if it ends in one."""
     at = len(s)
@@ -226,7 +232,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             doubt = state in ("open", "omitted", "item", "prose", "stub")
             rows[0].append(state)
             rows[1].append(last.lower() if doubt and last else None)
-            rows[2].append(line if (doubt or whole) and len(line) <= 200 else None)
+            rows[2].append(_line_key(line) if doubt or whole else None)
             rows[3].append(whole)
             rows[4].append(len(text))
             rows[5].append(len(text) if text.isascii() else len(text.encode("utf-8", "surrogatepass")))

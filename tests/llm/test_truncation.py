@@ -108,6 +108,13 @@ def test_judge(tables, spark):
     assert rows(truncation.truncated_documents(spark, tables())) == [] and rows(truncation.truncation_by_source(spark, tables())) == []
 
 
+def test_long_vandal_lines(tables, spark):
+    long = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
+    docs = [dict(doc_id=i, text=long, source="a", page_id=i) for i in range(2)]
+    docs += [dict(doc_id=10, text=WHOLE + "\n\n" + long, source="a", page_id=10), dict(doc_id=11, text=WHOLE + "\n\nother " + long, source="a", page_id=11)]
+    assert len(long) > 200 and rows(truncation.truncated_documents(spark, tables(documents=docs))) == [(11,)]
+
+
 def test_length_limits(spark):
     ends = [("a", n, n) for n in range(400, 700)] + [("a", 512, 520)] * 20 + [(None, 300, 1024)] * 9
     got = truncation.length_limits(spark.createDataFrame(ends, "source string, n_chars int, n_bytes int"))
