@@ -204,7 +204,7 @@ def describe(text: str) -> tuple[str, str, str, bool]:
     said = _TRAIL.sub("", line).rstrip()  # what stands before closing references, templates and tags
     if not said or _CLOSED.search(said) or _MARKUP_LINE.match(line) or line.endswith(("}}", "|}", "-->")) and not line[:1].isalnum():
         return "closed", "", phrase, whole
-    if _STUB.search(line):
+    if whole and _STUB.search(line):
         return "stub", last, phrase, whole
     return "prose", last, phrase, whole
 
@@ -289,15 +289,15 @@ def judge(documents: DataFrame) -> DataFrame:
     j = doubt.select("doc_id", "source", "state", "last", "line", "n_chars", "n_bytes", F.coalesce("source", F.lit("\0")).alias("source_key"), short.alias("line_end"))
     j = j.join(tails, "last", "left").join(whole_lines, "line", "left").join(line_ends, "line_end", "left")
     j = j.join(limit("chars", "n_chars"), ["source_key", "n_chars"], "left").join(limit("bytes", "n_bytes"), ["source_key", "n_bytes"], "left")
-    stump, vandal = F.coalesce("is_stump", F.lit(False)), F.coalesce("is_vandal", F.lit(False)) | F.coalesce("ends_as_vandal", F.lit(False))
     at_limit = F.coalesce("at_n_chars", F.lit(False)) | F.coalesce("at_n_bytes", F.lit(False))
+    stump, vandal = F.coalesce("is_stump", F.lit(False)), F.coalesce("is_vandal", F.lit(False)) | F.coalesce("ends_as_vandal", F.lit(False))
     evidence = (
         F.when((F.col("state") == "open") & ~F.coalesce("is_vandal", F.lit(False)), "open markup")
         .when((F.col("state") == "omitted") & ~vandal, "omission mark")
         .when((F.col("state") == "prose") & ~vandal & stump, "unknown prefix")
         .when((F.col("state") == "prose") & ~vandal, "open sentence")
         .when((F.col("state") == "item") & stump, "unknown prefix")
-        .when((F.col("state") == "item") & at_limit, "length limit")
+        .when(F.col("state").isin("item", "stub") & at_limit, "length limit")
     )
     return j.select("doc_id", "source", "state", "n_chars", evidence.alias("evidence"))
 

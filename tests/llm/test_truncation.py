@@ -62,6 +62,11 @@ def test_long_last_lines(line, state):
     assert len(line) > 4_100 and truncation.describe(WHOLE + "\n\n" + line)[0] == state
 
 
+def test_stub_is_the_whole_text():
+    assert truncation.describe(WHOLE + " It was discovered on 4 summer 2013")[0] == "prose"
+    assert truncation.describe("It was discovered on 4 summer 2013")[0] == "stub"
+
+
 @pytest.mark.parametrize(
     ("text", "state"),
     [
