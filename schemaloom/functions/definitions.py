@@ -10,6 +10,9 @@ import json
 import re
 import sys
 from collections.abc import Iterator
+from hashlib import blake2b
+
+from schemaloom.functions import stream
 
 #: Keys whose object members are data (names), not schema words: they repeat like array elements.
 KEYED = frozenset({"properties", "patternProperties", "definitions", "$defs"})
@@ -18,20 +21,30 @@ BRACKETS = {"items": "[]", "values": "{}", "additionalProperties": "{}", "prefix
 #: Members whose content is a value, not a schema.
 VALUES = frozenset({"default", "doc", "description", "symbols", "enum", "const", "examples", "aliases", "required"})
 
-MAX_DEPTH = 20_000
+#: Frames of plain Python that a walk over a parsed definition may take; they live on the heap.
+MAX_DEPTH = 10_000_000
+
+
+def json_text(text: str | None) -> str | None:
+    """The text without a byte order mark if it may be a JSON object or array, else None."""
+    t = (text or "").lstrip("\ufeff \t\r\n")
+    return t if t[:1] in ("{", "[") else None
 
 
 def load(text: str | None) -> object | None:
-    """The parsed definition, or None where the text is null, no JSON (proto text) or damaged."""
-    if not text:
-        return None
-    t = text.lstrip("﻿ \t\r\n")
-    if not t or t[0] not in "{[":
+    """The parsed definition, or None where the text is null, no JSON (proto text) or damaged. Depth does not matter."""
+    t = json_text(text)
+    if not t:
         return None
     try:
         return json.loads(t)
-    except (ValueError, RecursionError):
+    except json.JSONDecodeError:
         return None
+    except (ValueError, RecursionError):  # a number of very many digits, or nested too deeply for that parser
+        try:
+            return stream.parse(t)
+        except ValueError:
+            return None
 
 
 def allow_depth() -> None:
@@ -39,119 +52,108 @@ def allow_depth() -> None:
         sys.setrecursionlimit(MAX_DEPTH)
 
 
-# --- path-value-ordinal triples ------------------------------------------------------------------
+# --- fields as rows ----------------------------------------------------------------------------------
 
+#: A task's paths are forgotten beyond so many, which bounds its memory; they are found again as records come.
+MAX_PATHS = 200_000
 
-def triples(doc: object, keyed: frozenset = KEYED) -> Iterator[tuple[tuple, tuple, object]]:
-    """Every scalar of a JSON document as (path, ordinals, value), in document order.
 
-    A path step `[]` is an array element; its place is the matching ordinal. The members of an object under a key
-    in `keyed` count as repeated elements too, with their own name under the step `@key`. Empty containers yield
-    the value None at the step `@empty`.
-    """
-    stack: list = [((), (), doc)]
-    pop, push = stack.pop, stack.append
-    while stack:
-        path, ords, v = pop()
-        if isinstance(v, dict):
-            if path and path[-1] in keyed:
-                here = path + ("[]",)
-                for i, (k, x) in reversed(list(enumerate(v.items()))):
-                    push((here, ords + (i,), x))
-                    push((here + ("@key",), ords + (i,), k))
-            elif v:
-                for k in reversed(v):
-                    push((path + (k,), ords, v[k]))
-            else:
-                yield path + ("@empty",), ords, None
-        elif isinstance(v, list):
-            if v:
-                here = path + ("[]",)
-                for i in range(len(v) - 1, -1, -1):
-                    push((here, ords + (i,), v[i]))
-            else:
-                yield path + ("@empty",), ords, None
-        else:
-            yield path, ords, v
+class Paths:
+    """The paths of one task's records, shared between records."""
 
+    def __init__(self):
+        self.root, self.left = stream.Path(None, ""), MAX_PATHS
 
-def pivot(found: Iterator[tuple[tuple, tuple, object]]) -> dict[tuple, dict[tuple, dict[tuple, object]]]:
-    """Groups triples by their repeated ancestor (the path up to its last `[]`) and pivots each group.
+    def take(self, n: int) -> stream.Path:
+        """The root, anew after many triples."""
+        self.left -= n
+        if self.left < 0:
+            self.__init__()
+        return self.root
 
-    {group path: {ordinals: {rest of the path: value}}}: each group is one flat table; the ordinals are its key
-    and their prefixes the keys of the parents. Values outside any array form the group ().
-    """
-    tables: dict = {}
-    for path, ords, v in found:
-        n = len(path)
-        while n and path[n - 1] != "[]":
-            n -= 1
-        rows = tables.get(path[:n])
-        if rows is None:
-            rows = tables[path[:n]] = {}
-        row = rows.get(ords)
-        if row is None:
-            row = rows[ords] = {}
-        row[path[n:]] = v
-    return tables
-
-
-def _link(group: tuple) -> tuple[int, int, str] | None:
-    """Where the enclosing field's group ends, how many ordinals it has and the brackets between; None if no field.
-
-    `group` is the path of a field table without its own last two steps.
-    """
-    end = len(group)
-    start = end
-    while start >= 2 and not (group[start - 1] == "[]" and group[start - 2] in ("fields", "properties")):
-        start -= 1
-    if start < 2:
-        start = 0
-    between = group[start:]
-    if VALUES.intersection(between):
-        return None
-    return start, group[:start].count("[]"), "".join(BRACKETS.get(x, "") for x in between)
 
+def _table(path: stream.Path) -> tuple:
+    """(avro or JSON Schema or neither, is in Avro, brackets to the enclosing field, rows up to it) of a row's path.
 
-def field_rows(doc: object) -> list[tuple]:
+    The table of a row is that of fields if it is an element of `fields` or a member of `properties`; a table inside
+    a value (a default, an enumeration) is none.
+    """
+    if path.note is not None:
+        return path.note
+    kind = path.up.step if path.step == "[]" and path.up is not None else ""
+    between: list[str] = []
+    values = False
+    rows, p = 1, path.up.up if kind in ("fields", "properties") else None
+    if p is not None:
+        while p.up is not None and not (p.step == "[]" and p.up.step in ("fields", "properties")):
+            values |= p.step in VALUES
+            rows += p.step == "[]"
+            between.append(BRACKETS.get(p.step, ""))
+            p = p.up
+    up = p is not None and p.up is not None
+    path.note = (kind if p is not None and not values else "", "".join(reversed(between)), rows if up else 0)
+    return path.note
+
+
+def field_rows(text: str | None, paths: Paths | None = None) -> list[tuple]:
     """The fields of a definition as flat rows (field_no, parent_no, name, field_path, depth, type).
 
-    Built from the pivoted groups of its triples; parent_no is the enclosing field's field_no or None, so that
-    records and fields keep their parent-child links. type is the text of a plain type, else the container's kind.
+    The text is streamed into path-value-ordinal triples; the triples are grouped by their repeated ancestor and each
+    group pivots into rows that know the row they are part of. parent_no is the enclosing field's field_no or None.
+    type is the text of a plain type, else the container's kind.
     """
-    if not isinstance(doc, dict):
+    t = json_text(text)
+    if not t or t[0] != "{":
         return []
-    tables = pivot(triples(doc))
-    avro = ("fields", "[]") in tables or any("fields" in g for g in tables)
-    named: dict = {}
+    root = (paths or Paths()).root
+    found = stream.record_triples(t, root, KEYED)
+    if paths:
+        paths.take(len(found))
+    rows: dict[stream.Row, None] = {}
+    for path, row, v in found:
+        if path.step in WANTED:
+            row.values[path] = v
+        if row not in rows:
+            up = row
+            above = []
+            while up.up is not None and up not in rows:  # rows without scalars of their own
+                above.append(up)
+                up = up.up
+            rows.update(dict.fromkeys(reversed(above)))
+    avro = any(r.path.below_fields for r in rows)
+    wanted = "fields" if avro else "properties"
     out: list[tuple] = []
-    for group in sorted((g for g in tables if len(g) >= 2 and g[-1] == "[]" and g[-2] in ("fields", "properties")), key=len):
-        link = _link(group[:-2])
-        if link is None or (group[-2] == "properties") == avro:
+    for row in rows:
+        kind, brackets, up = _table(row.path)
+        if kind != wanted:
             continue
-        start, n, brackets = link
-        name_of = ("name",) if avro else ("@key",)
-        up = group[:start]
-        for ords, row in tables[group].items():
-            name = row.get(name_of)
-            if not isinstance(name, str):
+        name = row.values.get(row.path.to("name" if avro else "@key"))
+        if not isinstance(name, str):
+            continue
+        parent = None
+        if up:
+            holder = row
+            for _ in range(up):
+                holder = holder.up
+            parent = holder.note
+            if parent is None:
                 continue
-            parent = None
-            if start:
-                parent = named.get((up, ords[:n]))
-                if parent is None:
-                    continue
-            path = f"{parent[1]}{brackets}.{name}" if parent else name
-            depth = parent[2] + 1 if parent else 1
-            no = len(out)
-            named[(group, ords)] = (no, path, depth)
-            kind = row.get(("type",))
-            if kind is None:
-                kind = row.get(("type", "type"))
-            out.append((no, parent[0] if parent else None, name, path, depth, kind if isinstance(kind, str) else None))
+        path = f"{parent[1]}{brackets}.{name}" if parent else name
+        depth = parent[2] + 1 if parent else 1
+        no = len(out)
+        row.note = (no, path, depth)
+        of_type = row.path.to("type")
+        kind = row.values.get(of_type)
+        if kind is None:
+            kind = row.values.get(of_type.to("type"))
+        out.append((no, parent[0] if parent else None, name, path, depth, kind if isinstance(kind, str) else None))
     return out
 
 
+#: The steps whose values field rows are made of.
+WANTED = frozenset({"name", "type", "@key"})
+
+
 # --- types ----------------------------------------------------------------------------------------
 
 CONTAINERS = ("record", "error", "array", "map", "enum", "fixed")
@@ -304,12 +306,17 @@ def field_tree(doc: object) -> dict[str, Node] | None:
 
 
 def flat_fields(fields: dict[str, Node], prefix: str = "") -> Iterator[tuple[str, Node]]:
-    """(path, Node) of a field tree at all depths."""
-    for name, node in fields.items():
-        path = prefix + name
-        yield path, node
-        for b, kids in node.kids.items():
-            yield from flat_fields(kids, f"{path}{b}.")
+    """(path, Node) of a field tree at all depths, each field before those in it."""
+    stack = [(prefix, iter(fields.items()))]
+    while stack:
+        at, left = stack[-1]
+        nxt = next(left, None)
+        if nxt is None:
+            stack.pop()
+            continue
+        path = at + nxt[0]
+        yield path, nxt[1]
+        stack += [(f"{path}{b}.", iter(kids.items())) for b, kids in reversed(nxt[1].kids.items())]
 
 
 # --- changes between two versions ------------------------------------------------------------------
@@ -385,5 +392,12 @@ def _described(c: Node, gone: dict[str, Node]) -> Node | None:
 
 
 def fingerprint(fields: dict[str, Node]) -> str:
-    """One text per set of paths and types: equal fingerprints mean no change to look for."""
-    return "\n".join(sorted(f"{p}\t{n.sig}{'?' if n.nullable else ''}" for p, n in flat_fields(fields)))
+    """128 bits that stand for a set of paths, types and nullabilities: equal ones mean no change to look for."""
+    parts = []
+    for name, node in fields.items():
+        text = f"{name}\0{node.sig}\0{node.nullable}"
+        for b in sorted(node.kids):
+            if node.kids[b]:
+                text += f"\0{b}\0{fingerprint(node.kids[b])}"
+        parts.append(text)
+    return blake2b("\1".join(sorted(parts)).encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()

@@ -1,9 +1,12 @@
 import json
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from schemaloom.functions import definitions as D
+from schemaloom.functions import stream as S
 from schemaloom.operators import drift, flatten
 from tests.conftest import day, rows
 
@@ -87,7 +90,50 @@ def test_triples_round_trip(doc):
         return isinstance(x, dict) and (any(k in ("[]", "@empty") for k in x) or any(map(has_mark, x.values()))) or isinstance(x, list) and any(map(has_mark, x))
 
     if not has_mark(doc):
-        assert build(list(D.triples(doc, frozenset()))) == plain(doc)
+        assert build([(p.steps(), r.ordinals(), x) for p, r, x in S.triples(S.walk(doc), S.Path(None, ""))]) == plain(doc)
+
+
+@given(values, st.sampled_from([None, 2]))
+@settings(max_examples=150, deadline=None)
+def test_stream_parse_is_json(doc, indent):
+    text = json.dumps(doc, indent=indent)
+    assert S.parse(text) == doc and list(S.walk(doc)) == list(S.events(text))
+
+
+@given(values, st.integers(0, 60), st.sampled_from(list('{}[],:"\\ 1tx')))
+@settings(max_examples=300, deadline=None)
+def test_damage_is_told_as_json_does(doc, at, c):
+    text = json.dumps(doc)
+    text = text[:at] + c + text[at:]
+    try:
+        want = json.loads(text)
+    except ValueError:
+        with pytest.raises(ValueError):
+            S.parse(text)
+    else:
+        assert S.parse(text) == want
+
+
+def test_no_record_is_too_deep(tables, spark):
+    """50,000 levels of objects and arrays; 12,500 nested records; a number of 6,000 digits."""
+    n = 12_500
+    deep = '{"type":"record","name":"A","fields":[{"name":"x","type":' * n + '"string"' + "}]}" * n
+    shape = '{"type":"object","properties":{"a":{"type":"object","properties":{"b":{"type":"object","properties":{"c":' + '{"type":"array","items":' * 50_000 + "{}" + "}" * 50_000 + "}}}}}}"
+    big = '{"type":"record","name":"A","fields":[{"name":"x","default":' + "9" * 6000 + ',"type":"string"}]}'
+    d = tables(glue_versions=[v(1, deep), v(2, shape), v(3, big), v(4, '{"a": ' * 9000), v(5, "")], glue_schemas=[dict(registry_name="r", name="s", data_format="AVRO")])
+    got = {(r.schema_version_id, r.names): r.n for r in flatten.nested_fields(spark, d).groupBy("schema_version_id", F.size(F.split("field_path", r"\.")).alias("names")).agg(F.count("*").alias("n")).collect()}
+    assert got == {("s-1", i): 1 for i in range(3, n + 1)} | {("s-2", 3): 1}
+    assert rows(flatten.unparsed(spark, d)) == [("r", "AVRO", "damaged", 1), ("r", "AVRO", "empty", 1)]
+    assert D.field_tree(D.load(big))["x"].sig == "string"
+    D.allow_depth()
+    assert D.fingerprint(D.field_tree(D.load(deep))) != D.fingerprint(D.field_tree(D.load(shape)))
+    one = D.load('{"type":"record","name":"A","fields":[{"name":"x","type":' * 60 + '"string"' + "}]}" * 60)
+    assert [c[1] for c in D.changes(D.field_tree(one), D.field_tree(D.load(deep)))] == ["type_changed"] + ["added"] * (n - 60)
+
+
+def test_repeated_members(tables, spark):
+    d = tables(glue_versions=[v(1, '{"type":"object","properties":{"a":{"type":"string"}},"properties":{"b":{"properties":{"c":{"properties":{"d":{}}}}}}}')])
+    assert rows(flatten.nested_fields(spark, d)) == [("s-1", "b.c.d")]
 
 
 def test_changes(tables, spark):
