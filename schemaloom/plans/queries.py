@@ -12,12 +12,14 @@ QUERIES = {
     "p2_found": flatten.nested_fields,
     "p2_fields": flatten.all_fields,
     "p2_top_level": flatten.top_level_table,
+    "p2_unparsed": flatten.unparsed,
     "p3_found": drift.schema_changes,
     "p3_steps": drift.changes_with_compatibility,
     "p3_fields": drift.field_table,
     "p3_by_registry": drift.changes_per_month,
     "p4_found": hierarchy.roots_and_depths,
     "p4_hierarchy": hierarchy.schema_hierarchy,
+    "p4_descendants": hierarchy.descendant_pairs,
     "p5_found": orphans.orphan_references,
     "p5_by_month": orphans.orphans_per_month,
 }

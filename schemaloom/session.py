@@ -7,7 +7,8 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 #: Settings that suit both a laptop test and a cluster; all may be overridden by the caller.
 DEFAULTS = {
@@ -62,10 +63,12 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share, as spark.checkpoint.dir names it.
 
-    Only where that setting is absent (tests on one machine) a temporary folder is made and set.
+    Only where that setting is absent and all tasks run on this machine a temporary folder is made and set.
     """
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="schemaloom-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -92,22 +95,23 @@ class Workspace:
         back._loom_path = path
         return back
 
-    def split(self, df: DataFrame, column: str) -> dict[str, DataFrame]:
-        """Writes df once, split by a boolean column, and returns the readers of the parts that have rows.
+    def split(self, df: DataFrame, column: str, values: tuple[str, ...] = ("true", "false")) -> dict[str, DataFrame]:
+        """Writes df once, split by a column, and returns the readers of the parts that have rows, with `n_rows` set.
 
-        Whether a part has rows is told by its folder, without a job.
+        Rows are counted while they are written, without a job of their own.
         """
         self.count += 1
         path = f"{self.root}/{self.count:04d}"
-        df.write.mode("overwrite").partitionBy(column).parquet(path)
+        seen = Observation()
+        count = [F.count(F.when(F.col(column).cast("string") == v, 1)).alias(f"n{i}") for i, v in enumerate(values)]
+        df.observe(seen, *count).write.mode("overwrite").partitionBy(column).parquet(path)
         rest = df.drop(column).schema
         out = {}
-        for value in ("true", "false"):
-            at = f"{path}/{column}={value}"
-            p = self.spark._jvm.org.apache.hadoop.fs.Path(at)
-            if p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p):
+        for i, value in enumerate(values):
+            if n := seen.get[f"n{i}"]:
+                at = f"{path}/{column}={value}"
                 out[value] = self.spark.read.schema(rest).parquet(at)
-                out[value]._loom_path = at
+                out[value]._loom_path, out[value].n_rows = at, n
         return out
 
     def drop(self, df: DataFrame | None) -> None:
@@ -120,6 +124,14 @@ class Workspace:
         p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def union(parts: list[DataFrame]) -> DataFrame:
+    """All rows of several tables with the same columns."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def clean(spark: SparkSession) -> None:
     """Deletes this application's intermediate tables; results that still read them must be written before."""
     p = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/schemaloom-{spark.sparkContext.applicationId}")

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from schemaloom.operators import graph, hierarchy, orphans
@@ -29,9 +30,15 @@ def brute(parents: dict) -> dict:
 
 def check(spark, parents: dict):
     links = spark.createDataFrame(list(parents.items()), "key string, parent string")
-    got = {r["key"]: r for r in hierarchy.hierarchy(links).collect()}
+    h = links.sparkSession.createDataFrame(hierarchy.hierarchy(links, local_rows=0).toArrow())
+    got = {r["key"]: r for r in h.collect()}
     want = brute(parents)
     assert {k: (r["root_key"], r["depth"], r["path"]) for k, r in got.items()} == want
+    for local in (0, 20, hierarchy.LOCAL_ROWS):
+        short = hierarchy.hierarchy(links, paths=False, local_rows=local)
+        assert {r["key"]: (r["root_key"], r["depth"]) for r in short.collect()} == {k: x[:2] for k, x in want.items()}
+    pairs = {(x, k, d - want[x][1]) for k, (_, d, path) in want.items() if path for x in path.split(" > ")[:-1]}
+    assert set(rows(hierarchy.descendants(h))) == pairs
     for k, r in got.items():
         if r["depth"] >= 0:
             below = {x for x, (_, _, path) in want.items() if path and x != k and f" > {k} > " in f" > {path} > "}
@@ -46,6 +53,11 @@ def test_random_forests(spark):
     check(spark, parents)
 
 
+def test_paths_over_many_chains(spark):
+    """A balanced tree: every root path crosses as many chains as there can be."""
+    check(spark, {f"b{i:03d}": f"b{i // 2:03d}" if i > 1 else None for i in range(1, 128)})
+
+
 def test_star_and_chain(spark):
     check(spark, {"hub": None} | {f"s{i}": "hub" for i in range(60)} | {f"t{i:02d}": f"t{i - 1:02d}" if i else "s7" for i in range(40)})
 
@@ -69,17 +81,24 @@ def test_roots_of_the_catalog(tables, spark):
     assert rows(hierarchy.roots_and_depths(spark, tables())) == []
 
 
-def test_levels(spark):
-    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("a", "c"), ("x", "y"), ("y", "x"), ("z", "x")], "src string, dst string")
-    keys = spark.createDataFrame([(k,) for k in "abcxyzi"], "key string")
-    levels, cyclic = graph.levels(keys, edges)
-    assert rows(levels) == [("a", 2), ("b", 1), ("c", 0), ("i", 0)] and rows(cyclic) == [("x",), ("y",), ("z",)]
-    assert [tuple(r) for r in graph.migration_order(levels).orderBy("ord").collect()] == [(1, 0, "c"), (2, 0, "i"), (3, 1, "b"), (4, 2, "a")]
-    assert rows(graph.observed_level(keys, edges)) == [("a", 0), ("i", 0), ("z", 0)]
-    none, left = graph.levels(keys.where("false"), edges.where("false"))
+@pytest.mark.parametrize("local", [0, 3, graph.LOCAL_EDGES])
+def test_levels(spark, local):
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("a", "c"), ("x", "y"), ("y", "x"), ("z", "x"), ("a", "b"), ("d", "a"), ("z", "c")], "src string, dst string")
+    keys = spark.createDataFrame([(k,) for k in "abcdxyzi"], "key string")
+    levels, cyclic = graph.levels(keys, edges, local)
+    assert rows(levels) == [("a", 2), ("b", 1), ("c", 0), ("d", 3), ("i", 0)] and rows(cyclic) == [("x",), ("y",), ("z",)]
+    assert [tuple(r) for r in graph.migration_order(levels).orderBy("ord").collect()] == [(1, 0, "c"), (2, 0, "i"), (3, 1, "b"), (4, 2, "a"), (5, 3, "d")]
+    none, left = graph.levels(keys.where("false"), edges.where("false"), local)
     assert rows(none) == [] and rows(left) == []
 
 
+def test_neighbours(spark):
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("a", "c")], "src string, dst string")
+    keys = spark.createDataFrame([("a",), ("b",), ("c",)], "key string")
+    assert rows(graph.observed_level(keys, edges)) == [("a", 0)]
+    assert rows(graph.neighbours(edges)) == [("a", ["b", "c"], []), ("b", ["c"], ["a"]), ("c", [], ["a", "b"])]
+
+
 def test_orphans(tables, spark):
     s = lambda n, born=0, at=0: dict(registry_name="r", name=n, created_time=day(born), updated_time=day(at))
     v = lambda n, k, status: dict(registry_name="r", schema_name=n, version_number=k, status=status)
