@@ -139,4 +139,19 @@ def test_streamed_counts(spark, tmp_path):
     spark.createDataFrame([("a", 0, 1, 1, day(1))], ddl).write.mode("append").parquet(src)
     run()
     assert [r["key"] for r in stream.orphans(spark, at).collect()] == ["b"]
+    for i in range(3):  # every further batch withdraws a reference to b and adds one to d
+        spark.createDataFrame([("b", -1 if i == 0 else 0, 0, 0, None), ("d", 1, 0, 0, None)], ddl).write.mode("append").parquet(src)
+        stream.keep_counts(spark.readStream.schema(ddl).parquet(src), at, f"{tmp_path}/cp", compact_every=2).awaitTermination()
+    assert [(r["key"], r["n_refs"]) for r in stream.orphans(spark, at).collect()] == [("d", 3)]
+    parts = stream._parts(spark, at)[0]
+    assert len(parts) <= 2 and "/base/" in parts[0]
     assert rows(stream.orphans(spark, f"{tmp_path}/none").select(F.lit(1))) == []
+
+
+def test_missing_rests_on_the_counts(tables, spark):
+    """What resolves to nothing has a key with references and no record; every row of the report has a count."""
+    d = tables(parsed_schemas=[p("a", ["gone", "a"], at=5)], glue_schemas=[dict(registry_name="r", name="a", updated_time=day(0), created_time=day(0))])
+    assert rows(orphans.schema_references(spark, d).select("src_key", "ref", "reason")) == [("r:a", "gone", "missing")]
+    refs = spark.createDataFrame([("t", "s", "x", "?r:x", day(1)), ("t", "s", "y", None, day(1))], "src_table string, src_key string, ref string, key string, at timestamp")
+    assert rows(orphans.report(refs, orphans.merge_counts(orphans.reference_deltas(refs))).select("ref", "reason")) == [("x", "missing")]
+    assert rows(orphans.report(refs, orphans.merge_counts(orphans.reference_deltas(refs), orphans.reference_deltas(refs, -1)))) == []
