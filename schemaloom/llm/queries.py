@@ -10,6 +10,7 @@ QUERIES = {
     "p7_containers": packing.document_containers,
     "p7_fill": packing.container_fill,
     "p8_found": leakage.leaked_pairs,
+    "p8_near": leakage.near_pairs,
     "p8_items": leakage.leaked_items,
     "p9_found": truncation.truncated_documents,
     "p9_by_source": truncation.truncation_by_source,
