@@ -14,6 +14,7 @@ QUERIES = {
     "p8_items": leakage.leaked_items,
     "p9_found": truncation.truncated_documents,
     "p9_by_source": truncation.truncation_by_source,
+    "p9_evidence": truncation.truncation_evidence,
 }
 
 ORACLE: dict[str, str] = {}

@@ -1,17 +1,21 @@
-"""Text cut off by field limits: the end's markup, a vocabulary trie for its last word, length evidence per source.
+"""Text cut off by field limits: vocabulary trie for the last word, length evidence per source, the end's markup.
 
 One pass over the documents counts the corpus vocabulary and describes each text's end. The vocabulary, which grows
-with the corpus, becomes a trie kept as a table: one row per node, keyed by its prefix, with the words below it. The
-last words, made distinct first, are joined to it: a last word that is no known word but a proper prefix of one was cut.
-Lines that vandals leave are learned too: a line that is the whole text of revisions of two or more pages.
-
-A text counts as truncated if its end, without padding and marks of omission, lies
-- in open markup (a link, template, reference, tag, table, heading or entity that was begun and not closed), or
-- in a word: its last word is an unknown proper prefix of known words, or
-- in a sentence: a line of prose without closing punctuation, or with a mark of omission in place of the rest,
-  unless the line is a stub's formula (STUBS), a list item, a heading or a vandal's line.
-Length evidence decides list items and titles: where a source has a length at which far more texts end than at the
-lengths around it, a text of that length that ends without punctuation or closing markup was cut there.
+with the corpus, becomes a trie kept as a table: one row per node, keyed by its prefix, with how often the words below
+it occur. The last words, made distinct first, are joined to it: one that is far rarer than its completions was cut.
+Lengths at which far more texts end in doubt than at the lengths around them are limits, of a source or of all; texts
+that end in doubt there were cut there. Where a mark stands for the rest, the length before the mark counts, in bands,
+as such texts are cut between words.
+
+What ends in doubt is told from the end of the text, without padding and marks of omission: open (inside a link,
+template, reference, tag, table, heading or entity), omitted (a mark stands for the rest), prose (a line without
+closing punctuation), item (a list item that ends in a word) or a stub's formula (STUBS). Evidence is, first that fits:
+- length limit: in doubt (a stub's formula is not), at a limit;
+- unknown prefix: the last word was cut, by the trie (not where the end is a stub's);
+- open markup, omission mark, open sentence: the state alone, for cuts in mid-transfer that fall between words or into
+  numbers and markup, where neither a trie nor a length can tell.
+Lines that vandals leave are learned too: a line that is the whole text of revisions of several pages. A text that ends
+in such a line, in one with another put into it, or that is complete without such a line, was not cut.
 
 Defined results: null, empty and blank texts are not truncated; a text repeated under another identifier is judged
 alike; null sources form a source of their own; an empty table gives no rows.
@@ -26,17 +30,23 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from schemaloom.session import Workspace, table
+from schemaloom.session import Workspace, shuffle_partitions, table
 
-#: A word counts as known from so many occurrences on (last words of texts are not counted).
-MIN_KNOWN = 2
-#: A line is a vandal's if it is the whole text on so many pages.
-MIN_PAGES = 2
-#: A length is a limit if so many texts of a source have it, and so many times as many as a length nearby on average.
+#: A last word was cut if the words that it begins occur together so many times as often as it does (at least twice).
+STUMP_TIMES = 100
+#: A line is a vandal's if it is the whole text on this share of all pages, and on two pages at least.
+PAGE_SHARE, MIN_PAGES = 1e-5, 2
+#: A length is a limit if texts of a source end in doubt there so many times as often as at a length nearby on average,
+#: at least LIMIT_TEXTS of them, and no fewer than end well there.
 LIMIT_TEXTS, LIMIT_TIMES, NEARBY = 5, 8, 40
+#: Texts cut between words before a mark of omission have lengths in a band of so many characters.
+BAND = 16
+#: So many words at the end of a line are searched for a vandal's line that was put into it.
+PUT_WORDS = 30
 #: Ends of scripted stubs, which carry no full stop.
 STUBS = (r"\bpop\. \d+", r"\bon \d{1,2} \w+ \d{4}")
 
@@ -56,7 +66,7 @@ _PAIRED = re.compile(r"<(/?)(ref|nowiki|blockquote|p|b|i|small|sup|sub|div|span|
 _SPANNING = re.compile(r"<!--|-->|\{\{|\}\}|^[ \t:*#;]*\{\||^[ \t]*\|\}(?!\})|[{}]|^==+[^=\n]+==+[ \t]*$|^\[\[(?:Category|Kategorie|Catégorie|Categoría|[a-z]{2,3}):[^\[\]\n]+\]\][ \t]*$|<(/?)(ref|nowiki|blockquote|b|i|small|sup|sub|div|span|math|code|pre|gallery)\b[^<>]*?(/?)>", re.I | re.M)
 _HEAD = re.compile(r"\A(=+).*?(=*)\s*\Z", re.S)
 
-END = "doc_id long, source string, page_id long, word string, n long, state string, last string, line string, whole boolean, n_chars int, n_bytes int"
+END = "doc_id long, source string, page_id long, word string, n long, state string, last string, line string, tail string, whole boolean, n_chars int, n_bytes int, n_body int, print long"
 
 
 def unit(line: str) -> str:
@@ -171,10 +181,7 @@ def _opened(text: str, line: str) -> bool:
 
 
 def describe(text: str) -> tuple[str, str, str, bool]:
-    """(state, last word, line, whole) of a text's end.
-
-    state: open, omitted (a mark stands for the rest), closed, item, stub or prose.
-    """
+    """(state, last word, line, whole) of a text's end; see the module for the states. Nothing in doubt is closed."""
     t = text.rstrip()
     bare = t.rstrip(_PADDING)
     padded = len(bare) < len(t)
@@ -209,19 +216,35 @@ def describe(text: str) -> tuple[str, str, str, bool]:
     return "prose", last, phrase, whole
 
 
+def pieces_of(tail: str) -> Iterator[tuple[str, int, int]]:
+    """(piece as a line, first word, word behind it) of every run of words of the end of a line."""
+    ws = tail.split(" ")
+    for i in range(len(ws)):
+        for j in range(i + 1, len(ws) + 1):
+            if ws[i] and ws[j - 1]:
+                yield unit(" ".join(ws[i:j])), i, j
+
+
+def without(tail: str, i: int, j: int) -> tuple[str, str, bool]:
+    """(rest, rest as a line, rest is closed) of the end of a line that a run of words was put into."""
+    ws = tail.split(" ")
+    rest = " ".join(ws[:i]) + " ".join(ws[j:])
+    return rest, unit(rest), not rest.strip() or describe(rest)[0] == "closed"
+
+
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     vocabulary: Counter = Counter()
 
     def flush() -> pa.RecordBatch:
         n = len(vocabulary)
         none = lambda t: pa.nulls(n, t)
-        out = pa.record_batch([none(pa.int64()), none(pa.string()), none(pa.int64()), pa.array(list(vocabulary), pa.string()), pa.array(list(vocabulary.values()), pa.int64()), none(pa.string()), none(pa.string()), none(pa.string()), none(pa.bool_()), none(pa.int32()), none(pa.int32())], names=NAMES)
+        out = pa.record_batch([none(pa.int64()), none(pa.string()), none(pa.int64()), pa.array(list(vocabulary), pa.string()), pa.array(list(vocabulary.values()), pa.int64()), *map(none, TYPES)], names=NAMES)
         vocabulary.clear()
         return out
 
     for batch in batches:
         ids, texts, sources, pages = (batch.column(i) for i in range(4))
-        rows: list[list] = [[], [], [], [], [], []]
+        rows: list[list] = [[] for _ in TYPES]
         for text in texts.to_pylist():
             state, last, line, whole = describe(text)
             found = _WORD.findall(text.lower())
@@ -233,71 +256,147 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows[0].append(state)
             rows[1].append(last.lower() if doubt and last else None)
             rows[2].append(_line_key(line) if doubt or whole else None)
-            rows[3].append(whole)
-            rows[4].append(len(text))
-            rows[5].append(len(text) if text.isascii() else len(text.encode("utf-8", "surrogatepass")))
+            rows[3].append(_tail(text) if doubt else None)
+            rows[4].append(whole)
+            rows[5].append(len(text))
+            rows[6].append(len(text) if text.isascii() else len(text.encode("utf-8", "surrogatepass")))
+            rows[7].append(len(_OMITTED.sub("", text.rstrip())) if state in ("open", "omitted") else None)
+            rows[8].append(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63))
         n = batch.num_rows
-        types = (pa.string(), pa.string(), pa.string(), pa.bool_(), pa.int32(), pa.int32())
-        yield pa.record_batch([ids, sources, pages, pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()), *(pa.array(r, t) for r, t in zip(rows, types))], names=NAMES)
+        yield pa.record_batch([ids, sources, pages, pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()), *(pa.array(r, t) for r, t in zip(rows, TYPES))], names=NAMES)
         if len(vocabulary) > 300_000:
             yield flush()
     yield flush()
 
 
 NAMES = [x.split()[0] for x in END.split(", ")]
+TYPES = (pa.string(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
+
+
+def _tail(text: str) -> str:
+    """The last words of a text's last line, as written, entities resolved."""
+    line = text.rstrip().rstrip(_PADDING).rstrip().rpartition("\n")[2].strip()
+    return " ".join((html.unescape(line) if "&" in line else line).split(" ")[-PUT_WORDS:])
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        rows = [(t, r, *x) for t, r in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for x in pieces_of(r)]
+        cols = list(zip(*rows)) if rows else [[]] * 5
+        yield pa.record_batch([pa.array(c, pa.string() if k < 3 else pa.int32()) for k, c in enumerate(cols)], names=["tail", "rest", "piece", "i", "j"])
+
+
+def _rests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        rows = [(t, *without(r, i, j)) for t, r, i, j in zip(*(c.to_pylist() for c in b.columns))]
+        cols = list(zip(*rows)) if rows else [[]] * 4
+        yield pa.record_batch([*(pa.array(c, pa.string()) for c in cols[:3]), pa.array(cols[3], pa.bool_())], names=["tail", "rest", "rest_line", "is_closed"])
 
 
 def trie(vocabulary: DataFrame) -> DataFrame:
-    """(prefix, n_words): the inner nodes of the trie of vocabulary(word), with the words below each."""
+    """(prefix, n_below): the inner nodes of the trie of vocabulary(word, n), with how often the words below each occur."""
     cut = F.explode(F.sequence(F.lit(1), F.length("word") - 1))
-    inner = vocabulary.where(F.length("word") > 1).select("word", cut.alias("k")).select(F.expr("substring(word, 1, k)").alias("prefix"))
-    return inner.groupBy("prefix").agg(F.count("*").alias("n_words"))
+    inner = vocabulary.where(F.length("word") > 1).select("word", "n", cut.alias("k")).select(F.expr("substring(word, 1, k)").alias("prefix"), "n")
+    return inner.groupBy("prefix").agg(F.sum("n").alias("n_below"))
+
+
+def stumps(last: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(last, is_stump) of last(last), distinct words: whether each is far rarer than the words that it begins."""
+    known = vocabulary.select(F.col("word").alias("last"), F.col("n").alias("n_own"))
+    below = trie(vocabulary).select(F.col("prefix").alias("last"), "n_below")
+    j = last.join(known, "last", "left").join(below, "last", "left")
+    own, more = F.greatest(F.coalesce("n_own", F.lit(0)), F.lit(0)), F.coalesce("n_below", F.lit(0))
+    return j.select("last", ((more >= 2) & (own * STUMP_TIMES <= more)).alias("is_stump"))
+
+
+#: In place of a source, for limits of all sources together; and for those of texts without a source.
+EVERY, NO_SOURCE = "\0every", "\0none"
 
 
 def length_limits(ends: DataFrame) -> DataFrame:
-    """(source, unit, length, n): lengths, in characters or bytes, at which a source cuts its texts off."""
-    both = ends.select("source", F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("n_chars").alias("length")), F.struct(F.lit("bytes").alias("unit"), F.col("n_bytes").alias("length")))).alias("x")).select("source", "x.unit", "x.length")
-    per = both.where("length > 0").groupBy("source", "unit", "length").agg(F.count("*").alias("n"))
-    band = F.floor(F.col("length") / F.lit(NEARBY))
-    around = per.withColumn("band", band).groupBy("source", "unit", "band").agg(F.sum("n").alias("in_band"))
-    key = F.coalesce("source", F.lit("\0"))
-    a, b = per.withColumn("band", band).withColumn("source", key), around.withColumn("source", key)
-    j = a.join(b, ["source", "unit", "band"])
-    j = j.where((F.col("n") >= LIMIT_TEXTS) & (F.col("n") >= LIMIT_TIMES * (F.col("in_band") - F.col("n")) / (NEARBY - 1)))
-    return j.select(F.when(F.col("source") != "\0", F.col("source")).alias("source"), "unit", "length", "n")
+    """(source_key, unit, length): lengths at which the texts of ends(source, print, in_doubt, n_chars, n_bytes, n_body) are cut.
+
+    unit is chars or bytes of the whole text, or body: the characters before a mark of omission, in bands. A limit
+    of all sources, met by half of them or more and no more by one than by the others together, has the key EVERY, one of texts without a source NO_SOURCE. A text
+    counts once in a source, however often it was delivered.
+    """
+    ends = ends.select(F.coalesce("source", F.lit(NO_SOURCE)).alias("own_key"), "print", "in_doubt", "n_chars", "n_bytes", "n_body").distinct()
+    unit_of = lambda u, length: F.named_struct(F.lit("unit"), F.lit(u), F.lit("length"), length.cast("int"))
+    units = F.array(unit_of("chars", F.col("n_chars")), unit_of("bytes", F.col("n_bytes")), unit_of("body", F.floor(F.col("n_body") / BAND)))
+    each = ends.select("in_doubt", "own_key", F.explode(units).alias("x")).select("in_doubt", "own_key", "x.unit", "x.length")
+    own = each.where("length > 0").groupBy("own_key", "unit", "length").agg(F.count(F.when(F.col("in_doubt"), 1)).alias("n"), F.count(F.when(~F.col("in_doubt"), 1)).alias("n_well"))
+    every = own.groupBy("unit", "length").agg(F.sum("n").alias("n"), F.sum("n_well").alias("n_well"), F.count(F.when(F.col("n") > 0, 1)).alias("n_sources"), F.max("n").alias("n_one"))
+    sources = ends.agg(F.countDistinct("own_key").alias("of_sources"))
+    every = every.join(F.broadcast(sources)).where("n_sources >= 2 and n_sources * 2 >= of_sources and n_one * 2 <= n")  # one row is joined
+    per = own.withColumnRenamed("own_key", "source_key").unionByName(every.select(F.lit(EVERY).alias("source_key"), "unit", "length", "n", "n_well"))
+    per = per.withColumn("near", F.floor(F.col("length") / F.lit(NEARBY)))
+    around = per.groupBy("source_key", "unit", "near").agg(F.sum("n").alias("n_near"), F.max("n").alias("n_most"))
+    j = per.join(around, ["source_key", "unit", "near"])
+    # Another limit nearby is no measure of what is usual: the most frequent length counts for nothing beside another.
+    usual = (F.col("n_near") - F.col("n") - F.when(F.col("n") < F.col("n_most"), F.col("n_most")).otherwise(0)) / (NEARBY - 1)
+    return j.where((F.col("n") >= LIMIT_TEXTS) & (F.col("n") >= F.col("n_well")) & (F.col("n") >= LIMIT_TIMES * usual)).select("source_key", "unit", "length")
+
+
+def vandal_lines(ends: DataFrame) -> DataFrame:
+    """(line): lines that are the whole text of revisions of ends(line, whole, page_id) on several pages."""
+    pages = ends.agg(F.approx_count_distinct("page_id").alias("n_pages"))
+    lines = ends.where("whole and line is not null and line not like '#%'").groupBy("line").agg(F.countDistinct("page_id").alias("n"))
+    least = F.greatest(F.lit(float(MIN_PAGES)), F.col("n_pages") * PAGE_SHARE)
+    return lines.join(F.broadcast(pages)).where(F.col("n") >= least).select("line")  # one row is joined
 
 
 def judge(documents: DataFrame) -> DataFrame:
-    """(doc_id, source, state, evidence) of documents(doc_id, text, source, page_id); evidence is null for whole texts."""
+    """(doc_id, source, state, n_chars, evidence) of documents(doc_id, text, source, page_id) that end in doubt.
+
+    evidence is null for whole texts.
+    """
     work = Workspace(documents.sparkSession, "truncation")
     d = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "source", F.col("page_id").cast("long").alias("page_id")).where("text is not null and text <> ''")
     seen = work.save(d.mapInArrow(_scan, END))
-    vocabulary = work.save(seen.where("word is not null").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_KNOWN).select("word"))
-    ends = seen.where("word is null and state is not null")
-    doubt = ends.where("state in ('open', 'omitted', 'item', 'prose', 'stub')")
-    lines = ends.where("whole and line is not null and line not like '#%'").groupBy("line").agg(F.countDistinct("page_id").alias("pages")).where(F.col("pages") >= MIN_PAGES).select("line")
-    short = F.substring_index(F.col("line"), " ", -2)
-    lines = work.save(lines.select("line", F.when(F.size(F.split("line", " ")) >= 2, short).alias("line_end"), F.lit(True).alias("is_vandal")))
-    tails = doubt.where("last is not null").select("last").distinct()
-    known = vocabulary.select(F.col("word").alias("last"), F.lit(True).alias("is_word"))
-    below = trie(vocabulary).select(F.col("prefix").alias("last"), F.lit(True).alias("is_prefix"))
-    tails = tails.join(known, "last", "left").join(below, "last", "left").select("last", (F.col("is_word").isNull() & F.col("is_prefix").isNotNull()).alias("is_stump"))
-    whole_lines = lines.select("line", "is_vandal")
-    line_ends = lines.where("line_end is not null").select("line_end").distinct().withColumn("ends_as_vandal", F.lit(True))
-    limits = length_limits(ends)
-    limit = lambda u, c: limits.where(F.col("unit") == u).select(F.coalesce("source", F.lit("\0")).alias("source_key"), F.col("length").alias(c), F.lit(True).alias(f"at_{c}"))
-    j = doubt.select("doc_id", "source", "state", "last", "line", "n_chars", "n_bytes", F.coalesce("source", F.lit("\0")).alias("source_key"), short.alias("line_end"))
-    j = j.join(tails, "last", "left").join(whole_lines, "line", "left").join(line_ends, "line_end", "left")
-    j = j.join(limit("chars", "n_chars"), ["source_key", "n_chars"], "left").join(limit("bytes", "n_bytes"), ["source_key", "n_bytes"], "left")
-    at_limit = F.coalesce("at_n_chars", F.lit(False)) | F.coalesce("at_n_bytes", F.lit(False))
-    stump, vandal = F.coalesce("is_stump", F.lit(False)), F.coalesce("is_vandal", F.lit(False)) | F.coalesce("ends_as_vandal", F.lit(False))
+    vocabulary = work.save(seen.where("word is not null").groupBy("word").agg(F.sum("n").alias("n")))
+    ends = seen.where("word is null and state is not null").drop("word", "n")
+    lines = work.save(vandal_lines(ends))
+    flag = lambda df, name: df.distinct().withColumn(name, F.lit(True))
+    doubt = ends.where("state <> 'closed'").join(flag(lines, "is_line"), "line", "left")
+    # A vandal's line that others were put into, or those put into a line that is whole without them: what is left
+    # after a piece is taken out is looked at again, as long as there is anything to take out.
+    todo = work.split(doubt.where("is_line is null and tail is not null and state <> 'stub'").select("tail", F.col("tail").alias("rest")).distinct().withColumn("part", F.lit("todo")), "part", ("todo",)).get("todo")
+    found = None
+    while todo is not None:
+        spread = todo.repartition(shuffle_partitions(todo.sparkSession), "rest")
+        puts = spread.mapInArrow(_pieces, "tail string, rest string, piece string, i int, j int").join(lines.withColumnRenamed("line", "piece"), "piece", "left_semi")
+        puts = puts.select("tail", "rest", "i", "j").mapInArrow(_rests, "tail string, rest string, rest_line string, is_closed boolean")
+        puts = puts.join(flag(lines, "is_rest").withColumnRenamed("line", "rest_line"), "rest_line", "left")
+        puts = puts.select("tail", "rest", F.when(F.col("is_rest") | F.col("is_closed"), "put").otherwise("todo").alias("part")).distinct()
+        parts = work.split(puts, "part", ("put", "todo"))
+        if (now := parts.get("put")) is not None:
+            now = now.select("tail")
+            found = now if found is None else found.unionByName(now)
+        todo = parts.get("todo")
+    if found is None:
+        found = doubt.select("tail").where("false")
+    doubt = doubt.join(flag(found, "is_put"), "tail", "left")
+    doubt = work.save(doubt.withColumn("is_vandal", F.coalesce("is_line", "is_put", F.lit(False))).drop("is_line", "is_put", "tail", "line", "whole"))
+    last = stumps(doubt.where("last is not null").select("last").distinct(), vocabulary)
+    cut = doubt.select("source", "print", (~F.col("is_vandal") & (F.col("state") != "stub")).alias("in_doubt"), "n_chars", "n_bytes", F.when(~F.col("is_vandal"), F.col("n_body")).alias("n_body"))
+    well = ends.where("state = 'closed'").select("source", "print", F.lit(False).alias("in_doubt"), "n_chars", "n_bytes", F.lit(None).cast("int").alias("n_body"))
+    limits = work.save(length_limits(cut.unionByName(well)))
+    j = doubt.withColumn("source_key", F.coalesce("source", F.lit(NO_SOURCE))).withColumn("band", F.floor(F.col("n_body") / BAND).cast("int")).join(last, "last", "left")
+    at_limit = F.lit(False)
+    for unit_, column in (("chars", "n_chars"), ("bytes", "n_bytes"), ("body", "band")):
+        one = limits.where(F.col("unit") == unit_)
+        own = one.select("source_key", F.col("length").alias(column), F.lit(True).alias(f"own_{unit_}"))
+        every = one.where(F.col("source_key") == EVERY).select(F.col("length").alias(column), F.lit(True).alias(f"every_{unit_}"))
+        j = j.join(own, ["source_key", column], "left").join(every, column, "left")
+        at_limit = at_limit | F.coalesce(f"own_{unit_}", f"every_{unit_}", F.lit(False))
+    state = F.col("state")
     evidence = (
-        F.when((F.col("state") == "open") & ~F.coalesce("is_vandal", F.lit(False)), "open markup")
-        .when((F.col("state") == "omitted") & ~vandal, "omission mark")
-        .when((F.col("state") == "prose") & ~vandal & stump, "unknown prefix")
-        .when((F.col("state") == "prose") & ~vandal, "open sentence")
-        .when((F.col("state") == "item") & stump, "unknown prefix")
-        .when(F.col("state").isin("item", "stub") & at_limit, "length limit")
+        F.when(F.col("is_vandal"), None)
+        .when(at_limit & (state != "stub"), "length limit")
+        .when((state != "stub") & F.coalesce("is_stump", F.lit(False)), "unknown prefix")
+        .when(state == "open", "open markup")
+        .when(state == "omitted", "omission mark")
+        .when(state == "prose", "open sentence")
     )
     return j.select("doc_id", "source", "state", "n_chars", evidence.alias("evidence"))
 
@@ -311,6 +410,11 @@ def truncated_documents(spark, sf_dir: str) -> DataFrame:
     return judge(_documents(spark, sf_dir)).where("evidence is not null").select("doc_id").distinct()
 
 
+def truncation_evidence(spark, sf_dir: str) -> DataFrame:
+    """By what evidence the texts of each source count as truncated."""
+    return judge(_documents(spark, sf_dir)).where("evidence is not null").groupBy("source", "evidence").agg(F.countDistinct("doc_id").alias("n_documents"))
+
+
 def truncation_by_source(spark, sf_dir: str) -> DataFrame:
     """How many of each source's texts are truncated."""
     cut = judge(_documents(spark, sf_dir)).where("evidence is not null").select("doc_id").distinct().withColumn("cut", F.lit(1))

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from schemaloom.llm import truncation
@@ -95,9 +97,20 @@ def test_unit():
     assert truncation.unit("HELLO HELLO HELLOHELLO HELLO HELLOHELLO HE") == "hello hello hello" and truncation.unit("so long and so on") == "so long and so on"
 
 
-def test_trie(spark):
-    v = spark.createDataFrame([("ab",), ("abc",), ("b",)], "word string")
-    assert rows(truncation.trie(v)) == [("a", 2), ("ab", 1)]
+def test_trie_and_stumps(spark):
+    v = spark.createDataFrame([("ab", 3), ("abc", 300), ("b", 5), ("th", 2), ("the", 500), ("then", 9), ("rare", 1), ("rarely", 4)], "word string, n long")
+    assert rows(truncation.trie(v).where("prefix like 'a%'")) == [("a", 303), ("ab", 300)]
+    last = spark.createDataFrame([(w,) for w in ("a", "ab", "abc", "th", "the", "rare", "rarel", "q")], "last string")
+    assert {r["last"] for r in truncation.stumps(last, v).where("is_stump").collect()} == {"a", "ab", "th", "rarel"}
+
+
+def test_put_into():
+    tail = "HELLO HELL ???? O HELLO"
+    at = {p: (i, j) for p, i, j in truncation.pieces_of(tail)}
+    assert truncation.without(tail, *at["?"]) == ("HELLO HELLO HELLO", "hello hello hello", False)  # a piece is a line, without its repeats
+    tail = "[[Cate so what gory:Olm]]"
+    at = {p: (i, j) for p, i, j in truncation.pieces_of(tail)}
+    assert truncation.without(tail, *at["so what"])[2] and list(truncation.pieces_of("")) == []
 
 
 def test_judge(tables, spark):
@@ -120,7 +133,62 @@ def test_long_vandal_lines(tables, spark):
     assert len(long) > 200 and rows(truncation.truncated_documents(spark, tables(documents=docs))) == [(11,)]
 
 
+def sentence(rnd):
+    names = ["Dunmere", "Halgarth", "Torloft", "Velwick", "Eskstead"]
+    return f"The {rnd.choice(['river', 'bridge', 'tower', 'harbour'])} of {rnd.choice(names)} was described in {rnd.randrange(1200, 2000)} and later used for {rnd.choice(['fishing', 'trade', 'ceremony'])}."
+
+
+def test_limits_and_prefixes_decide(tables, spark):
+    """A source that cuts at 300 characters, one at 256 bytes, one before a mark, and a transfer broken off anywhere."""
+    rnd = random.Random(2)
+    docs, want = [], {}
+
+    def add(text, source, evidence=None):
+        docs.append(dict(doc_id=len(docs), text=text, source=source, page_id=len(docs)))
+        if evidence:
+            want[len(docs) - 1] = evidence
+
+    for i in range(600):
+        text = " ".join(sentence(rnd) for _ in range(rnd.randrange(2, 8)))
+        source = ["a", "b", "c", "d"][i % 4]
+        if source == "a" and len(text) > 300 and text[299] not in ".":
+            add(text[:300], source, {"length limit"})
+        elif source == "b" and len(text) > 250:
+            text = text[:100] + "é" + text[101:]
+            text = text.encode()[:256].decode(errors="ignore")
+            add(text, source, None if text.endswith(".") else {"length limit"})
+        elif source == "c" and len(text) > 400 and i % 3:
+            add(text[:400].rpartition(" ")[0] + "…", source, {"length limit"})
+        elif source == "d" and i % 8 == 3:
+            text = text[: rnd.randrange(60, len(text) - 1)].rstrip()
+            if not text.endswith("."):
+                add(text, source, {"unknown prefix", "open sentence"})
+        else:
+            add(text, source)
+    got = {r["doc_id"]: r["evidence"] for r in truncation.judge(truncation._documents(spark, tables(documents=docs))).where("evidence is not null").collect()}
+    assert {*got} == {*want} and all(got[k] in e for k, e in want.items())
+    of_d = [got[k] for k, e in want.items() if "unknown prefix" in e]
+    assert of_d.count("unknown prefix") > len(of_d) / 2
+
+
+def test_vandals_among_themselves(tables, spark):
+    """Lines put into one another, and into markup, are no lost ends; a lost end with one in it is."""
+    lines = ["HELLO HELLO HELLO", "so what now", "my page is here"]
+    docs = [dict(doc_id=10 * i + j, text=t, source="a", page_id=10 * i + j) for i, t in enumerate(lines) for j in range(3)]
+    more = ["HELLO HELL so what now O HELLO", "HELLO  so wh my page is here at now HELLO HELLO", WHOLE + "\n\n[[Category so what now :Olm]]", WHOLE + " so what now", WHOLE[:-9] + " so what now "]
+    docs += [dict(doc_id=100 + i, text=t, source="a", page_id=100 + i) for i, t in enumerate(more)]
+    docs += [dict(doc_id=200, text=WHOLE[:-30].replace("bridge", "bri so what now dge"), source="a", page_id=200)]
+    assert rows(truncation.truncated_documents(spark, tables(documents=docs))) == [(104,), (200,)]
+
+
 def test_length_limits(spark):
-    ends = [("a", n, n) for n in range(400, 700)] + [("a", 512, 520)] * 20 + [(None, 300, 1024)] * 9
-    got = truncation.length_limits(spark.createDataFrame(ends, "source string, n_chars int, n_bytes int"))
-    assert {(r["source"], r["unit"], r["length"]) for r in got.collect()} == {("a", "chars", 512), ("a", "bytes", 520), (None, "chars", 300), (None, "bytes", 1024)}
+    ends = [("a", i, False, n, n, None) for i, n in enumerate(range(400, 700))] + [("a", 1000 + i, True, 512, 520, None) for i in range(20)] + [(None, 2000 + i, True, 300, 1024, None) for i in range(9)]
+    ends += [("a", 3000, True, 450, 450, None)] * 50 + [("b", 4000 + i, True, 340 + i % 10, 350 + i % 10, 333) for i in range(30)]
+    got = truncation.length_limits(spark.createDataFrame(ends, "source string, print long, in_doubt boolean, n_chars int, n_bytes int, n_body int"))
+    assert {tuple(r) for r in got.where("unit <> 'body' and source_key <> 'b'").collect()} == {("a", "chars", 512), ("a", "bytes", 520), (truncation.NO_SOURCE, "chars", 300), (truncation.NO_SOURCE, "bytes", 1024)}
+    assert ("b", "body", 333 // truncation.BAND) in {tuple(r) for r in got.collect()}
+    both = [(s, 10 * i + k, True, 255, 255, None) for i, s in enumerate("abcd") for k in range(3)]
+    assert (truncation.EVERY, "chars", 255) in {tuple(r) for r in truncation.length_limits(spark.createDataFrame(both, got_schema)).collect()}
+
+
+got_schema = "source string, print long, in_doubt boolean, n_chars int, n_bytes int, n_body int"
