@@ -1,9 +1,14 @@
 """Duplicates hidden by formatting: records that differ only in white space, case, punctuation and member order.
 
 A record is reduced to a canonical key, 128 bits of its canonical text. Exact counts per key come from partial counts;
-a key that holds a thousandth of all rows or more is hot. Hot groups, at most a thousand by that definition, are
-aggregated in two levels over salts and their representatives broadcast; the rest goes through one shuffle by key.
-The representative of a group is its smallest identifier.
+a key with HOT_ROWS rows or more is hot, whatever the size of the input, so no task ever groups more rows of one key.
+Hot groups are aggregated in two levels over salts, the rest goes through one shuffle by key. Hot keys are broadcast up
+to BROADCAST_KEYS of them and joined by key and salt beyond. The representative of a group is its smallest identifier.
+
+What is layout: white space, letter case and punctuation, so also quotes: 1 and "1", null and "null", true and "true" are
+the same. In a text signs are punctuation too ("-5" and "5", "C++" and "C"); a number that stands by itself keeps its
+sign, and a decimal point between digits is part of the number everywhere. A type or a number written otherwise is
+another record.
 
 Defined results: a null record takes part in nothing; an empty one is the canonical empty text; a record that does not
 parse is compared as text, without white space, case and punctuation; one identifier delivered several times with the
@@ -21,12 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from schemaloom.functions.definitions import allow_depth
-from schemaloom.session import Workspace, table
+from schemaloom.functions.definitions import allow_depth, load
+from schemaloom.session import Workspace, table, union
 
-#: A key with this share of all rows is hot; so there are at most 1 / HOT_SHARE hot keys.
-HOT_SHARE = 0.001
-SALTS = 64
+#: A key with so many rows is hot.
+HOT_ROWS = 20_000
+#: So many hot keys are broadcast (16 bytes each); more are joined, each once per salt.
+BROADCAST_KEYS = 100_000
+SALTS = 256
 #: Arrays whose order carries no meaning: the fields of a record and the names of the required ones.
 UNORDERED = frozenset({"fields", "required"})
 
@@ -174,13 +181,12 @@ def canonical(text: str, memo: dict | None = None) -> str:
     memo = {} if memo is None else memo
     t = text.lstrip("﻿ \t\r\n")
     if t[:1] in ("{", "["):
-        try:
-            return _member("", json.loads(t), memo)
-        except (ValueError, RecursionError):
-            pass
+        doc = load(t)
+        if doc is not None:
+            return _member("", doc, memo)
         try:
             return _member("", _loose(t), memo)
-        except (ValueError, RecursionError):
+        except ValueError:
             return word(t)
     return _code(t) if _PROTO.match(t) else word(t)
 
@@ -199,22 +205,36 @@ def canonical_keys(records: DataFrame) -> DataFrame:
     return records.select("id", "text").where("id is not null and text is not null").mapInArrow(_keys, "id string, key binary")
 
 
-def groups(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(members, counts): members(id, key, first_id) and counts(key, first_id, n_copies), one row per distinct record."""
-    spark = records.sparkSession
-    work = Workspace(spark, "duplicates")
-    keyed = work.save(canonical_keys(records))
-    partial = keyed.groupBy("key").agg(F.count("*").alias("n"))
-    least = max(1000, int(keyed.count() * HOT_SHARE))
-    hot = work.save(partial.where(F.col("n") >= least).select("key"))  # at most 1 / HOT_SHARE rows
-    cold_rows = keyed.join(F.broadcast(hot), "key", "left_anti").repartition("key").dropDuplicates(["key", "id"])
-    cold = cold_rows.withColumn("first_id", F.min("id").over(Window.partitionBy("key")))
-    hot_rows = keyed.join(F.broadcast(hot), "key", "left_semi").distinct()
-    salted = hot_rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS))).groupBy("key", "salt").agg(F.min("id").alias("first_id"), F.count("*").alias("n"))
-    heads = salted.groupBy("key").agg(F.min("first_id").alias("first_id"), F.sum("n").alias("n_copies"))
-    members = cold.select("id", "key", "first_id").unionByName(hot_rows.join(F.broadcast(heads.select("key", "first_id")), "key").select("id", "key", "first_id"))
-    cold_counts = cold_rows.groupBy("key").agg(F.min("id").alias("first_id"), F.count("*").alias("n_copies"))
-    return members, cold_counts.unionByName(heads)
+def groups(keyed: DataFrame, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(members, counts) of keyed(id, key): members(id, key, first_id) and counts(key, first_id, n_copies), a row per key."""
+    work = Workspace(keyed.sparkSession, "duplicates")
+    keyed = work.save(keyed.select("id", "key"))
+    counted = keyed.groupBy("key").agg(F.count("*").alias("n"))
+    hot = work.split(counted.where(F.col("n") >= hot_rows).select("key", F.lit("hot").alias("part")), "part", ("hot",)).get("hot")
+    parts = {"cold": keyed}
+    if hot is not None:
+        n_hot, hot = hot.n_rows, hot.withColumn("part", F.lit("hot"))
+        salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")
+        if n_hot <= BROADCAST_KEYS:
+            marked = keyed.join(F.broadcast(hot), "key", "left")
+        else:
+            every = hot.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+            marked = keyed.withColumn("salt", salt).join(every, ["key", "salt"], "left").drop("salt")
+        parts = work.split(marked.select("id", "key", F.coalesce("part", F.lit("cold")).alias("part")), "part", ("hot", "cold"))
+    members, counts = [], []
+    if "cold" in parts:
+        cold = parts["cold"].repartition("key").dropDuplicates(["key", "id"])
+        members.append(cold.withColumn("first_id", F.min("id").over(Window.partitionBy("key"))))
+        counts.append(cold.groupBy("key").agg(F.min("id").alias("first_id"), F.count("*").alias("n_copies")))
+    if "hot" in parts:
+        # First level by key and salt, where a copy delivered again meets itself; second over the salts' results.
+        first = parts["hot"].withColumn("salt", salt).distinct()
+        level = first.groupBy("key", "salt").agg(F.min("id").alias("first_id"), F.count("*").alias("n"))
+        heads = work.save(level.groupBy("key").agg(F.min("first_id").alias("first_id"), F.sum("n").alias("n_copies")))
+        back = heads.select("key", "first_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        members.append(first.join(back, ["key", "salt"]).select("id", "key", "first_id"))
+        counts.append(heads)
+    return union(members), union(counts)
 
 
 def registered_texts(spark, sf_dir: str) -> DataFrame:
@@ -225,11 +245,18 @@ def registered_texts(spark, sf_dir: str) -> DataFrame:
 
 def copies(spark, sf_dir: str) -> DataFrame:
     """p6_found(first_id, copy_id)."""
-    members, _ = groups(registered_texts(spark, sf_dir))
+    members, _ = groups(canonical_keys(registered_texts(spark, sf_dir)))
     return members.where("id <> first_id").select("first_id", F.col("id").alias("copy_id"))
 
 
 def collapsed(spark, sf_dir: str) -> DataFrame:
     """(first_id, n_copies): each distinct record once, with the number of its copies (itself included)."""
-    _, counts = groups(registered_texts(spark, sf_dir))
+    _, counts = groups(canonical_keys(registered_texts(spark, sf_dir)))
+    return counts.select("first_id", "n_copies")
+
+
+def repeated_texts(spark, sf_dir: str) -> DataFrame:
+    """(first_id, n_copies) of texts that are equal to the letter; groups of three or more count as hot here."""
+    texts = registered_texts(spark, sf_dir).where("id is not null and text is not null")
+    _, counts = groups(texts.select("id", F.unhex(F.md5("text")).alias("key")), hot_rows=3)
     return counts.select("first_id", "n_copies")

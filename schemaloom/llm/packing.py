@@ -15,6 +15,7 @@ ties in size go to the smaller identifier; an empty table gives no containers.
 from __future__ import annotations
 
 import base64
+import os
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
@@ -58,13 +59,27 @@ class Counter:
         return total
 
 
+def _everywhere(spark, path: str) -> str:
+    """The name under which tasks find a file of the driver: it is sent to every executor once."""
+    from pyspark import SparkFiles
+
+    name = os.path.basename(path)
+    at = SparkFiles.get(name)
+    if not os.path.exists(at):
+        spark.sparkContext.addFile(path)
+    return name
+
+
 def token_counts(df: DataFrame, id_col: str, text_col: str, ranks_path: str = RANKS) -> DataFrame:
-    """(id, n_tokens) per row."""
+    """(id, n_tokens) per row; the vocabulary file under ranks_path is needed on the driver only."""
+    name = _everywhere(df.sparkSession, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import SparkFiles
+
         count = None
         for batch in batches:
-            count = count or Counter(ranks_path)
+            count = count or Counter(SparkFiles.get(name))
             yield pa.record_batch([batch.column(0), pa.array([count(t) for t in batch.column(1).to_pylist()], pa.int64())], names=["id", "n_tokens"])
 
     return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("text is not null and text <> ''").mapInArrow(run, "id long, n_tokens long")

@@ -7,6 +7,7 @@ from schemaloom.llm import duplicates, leakage, packing, truncation
 QUERIES = {
     "p6_found": duplicates.copies,
     "p6_collapsed": duplicates.collapsed,
+    "p6_repeated": duplicates.repeated_texts,
     "p7_containers": packing.document_containers,
     "p7_fill": packing.container_fill,
     "p8_found": leakage.leaked_pairs,

@@ -1,9 +1,11 @@
 import json
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from schemaloom.functions.definitions import allow_depth
 from schemaloom.llm import duplicates
 from tests.conftest import rows
 
@@ -56,14 +58,31 @@ def test_damaged_text_is_compared_as_text():
     assert duplicates.canonical("") == duplicates.canonical(" \n")
 
 
-def test_groups_with_a_hot_key(spark, tables, monkeypatch):
+def test_depth_does_not_matter():
+    allow_depth()
+    n = 25_000
+    deep = '{"a": [' * n + "1" + "]}" * n
+    assert duplicates.canonical(deep) == duplicates.canonical(deep.replace(" ", "\n").replace("a", "A")) != duplicates.canonical(deep.replace("1", "2"))
+    loose = deep.replace('"', "'")
+    assert duplicates.canonical(loose) == duplicates.canonical(deep)
+
+
+def test_what_is_layout_and_what_is_not():
+    same = lambda a, b: duplicates.canonical('{"x": %s}' % a) == duplicates.canonical('{"x": %s}' % b)
+    assert same("1", '"1"') and same("null", '"Null"') and same('"-5"', '"5"') and same('"C++"', '"C"') and same("true", '"true"')
+    assert not same("5", "-5") and not same("1.5", "15") and not same('"1.5"', '"15"') and not same('"int"', '"long"') and not same("null", "0")
+
+
+@pytest.mark.parametrize(("hot_rows", "broadcast"), [(1000, 100), (3, 100), (3, 0), (10**9, 100)])
+def test_groups_with_a_hot_key(spark, monkeypatch, hot_rows, broadcast):
     """A third of all rows are copies of one record; the result is that of a plain grouping."""
     rnd = random.Random(1)
     texts = [json.dumps(shuffled(DOC, rnd)) if i % 3 == 0 else json.dumps({"name": f"n{rnd.randrange(900)}", "fields": []}) for i in range(4000)]
     texts[5], texts[7], texts[8] = None, "", "x" * 300_000
     recs = [(f"v{i:04d}", t) for i, t in enumerate(texts)]
     df = spark.createDataFrame(recs + recs[:50] + [(None, "x")], "id string, text string")
-    members, counts = duplicates.groups(df)
+    monkeypatch.setattr(duplicates, "BROADCAST_KEYS", broadcast)
+    members, counts = duplicates.groups(duplicates.canonical_keys(df), hot_rows)
     want: dict = {}
     for i, t in recs:
         if t is not None:
@@ -77,4 +96,5 @@ def test_tables(tables, spark):
     d = tables(glue_versions=[dict(schema_version_id="b", definition="{}"), dict(schema_version_id="b", definition="{}"), dict(schema_version_id="n")], requests=[dict(request_id="a", schema=" { } "), dict(request_id="a", schema=" { } "), dict(request_id="c", schema="[]")])
     assert rows(duplicates.copies(spark, d)) == [("a", "b")]
     assert rows(duplicates.collapsed(spark, d)) == [("a", 2), ("c", 1)]
-    assert rows(duplicates.copies(spark, tables())) == []
+    assert rows(duplicates.repeated_texts(spark, d)) == [("a", 1), ("b", 1), ("c", 1)]
+    assert rows(duplicates.copies(spark, tables())) == rows(duplicates.repeated_texts(spark, tables())) == []
