@@ -160,12 +160,23 @@ CONTAINERS = ("record", "error", "array", "map", "enum", "fixed")
 
 
 class Node:
-    """A field: its type in one canonical spelling, nullability, documentation, declared old names, fields below."""
+    """A field: its type in one canonical spelling, nullability, documentation, declared old names, fields below, default.
+
+    default is JSON text, None where the field has none.
+    """
+
+    __slots__ = ("name", "sig", "nullable", "doc", "aliases", "kids", "default")
+
+    def __init__(self, name, sig, nullable, doc, aliases, kids, default=None):
+        self.name, self.sig, self.nullable, self.doc, self.aliases, self.kids, self.default = name, sig, nullable, doc, aliases, kids, default
+
+    @property
+    def type(self) -> str:
+        return self.sig + ("?" if self.nullable else "")
 
-    __slots__ = ("name", "sig", "nullable", "doc", "aliases", "kids")
 
-    def __init__(self, name, sig, nullable, doc, aliases, kids):
-        self.name, self.sig, self.nullable, self.doc, self.aliases, self.kids = name, sig, nullable, doc, aliases, kids
+def _default(f) -> str | None:
+    return json.dumps(v) if isinstance(f, dict) and not isinstance(v := f.get("default", ...), (type(...), dict, list)) else None
 
 
 def _avro_type(t) -> tuple[frozenset, bool, dict]:
@@ -214,7 +225,7 @@ def _merge(into: dict, more: dict) -> None:
             else:  # the same field in two members of a union
                 kids = dict(old.kids)
                 _merge(kids, node.kids)
-                at[name] = Node(name, "|".join(sorted({*old.sig.split("|"), *node.sig.split("|")})), old.nullable or node.nullable, old.doc if old.doc is not None else node.doc, (*old.aliases, *node.aliases), kids)
+                at[name] = Node(name, "|".join(sorted({*old.sig.split("|"), *node.sig.split("|")})), old.nullable or node.nullable, old.doc if old.doc is not None else node.doc, (*old.aliases, *node.aliases), kids, old.default if old.default is not None else node.default)
 
 
 def _avro_fields(record: dict) -> dict[str, Node]:
@@ -230,7 +241,7 @@ def _avro_fields(record: dict) -> dict[str, Node]:
             t = f
         sigs, null, kids = _avro_type(t)
         doc, aliases = f.get("doc"), f.get("aliases")
-        out[f["name"]] = Node(f["name"], "|".join(sorted(sigs)), null, doc if isinstance(doc, str) and doc else None, tuple(a for a in aliases if isinstance(a, str)) if isinstance(aliases, list) else (), kids)
+        out[f["name"]] = Node(f["name"], "|".join(sorted(sigs)), null, doc if isinstance(doc, str) and doc else None, tuple(a for a in aliases if isinstance(a, str)) if isinstance(aliases, list) else (), kids, _default(f))
     return out
 
 
@@ -284,7 +295,7 @@ def _json_fields(s: dict) -> dict[str, Node]:
         sigs, null, kids = _json_type(p)
         doc = p.get("description") if isinstance(p, dict) else None
         aliases = p.get("aliases") if isinstance(p, dict) else None
-        out[name] = Node(name, "|".join(sorted(sigs)), null, doc if isinstance(doc, str) and doc else None, tuple(a for a in aliases if isinstance(a, str)) if isinstance(aliases, list) else (), kids)
+        out[name] = Node(name, "|".join(sorted(sigs)), null, doc if isinstance(doc, str) and doc else None, tuple(a for a in aliases if isinstance(a, str)) if isinstance(aliases, list) else (), kids, _default(p))
     return out
 
 
@@ -331,7 +342,7 @@ def spelling(name: str) -> str:
 
 def _all(fields: dict[str, Node], prefix: str, what: str, out: list) -> None:
     for path, node in flat_fields(fields, prefix):
-        out.append((path, what, path, node.sig + ("?" if node.nullable else "")))
+        out.append((path, what, path, node.type))
 
 
 def changes(old: dict[str, Node], new: dict[str, Node], old_at: str = "", new_at: str = "", out: list | None = None, kept: list | None = None) -> list[tuple[str, str, str, str]]:
@@ -340,8 +351,9 @@ def changes(old: dict[str, Node], new: dict[str, Node], old_at: str = "", new_at
     kept, if given, receives (path, path before) of every field that both have.
 
     Fields pair by name; the rest of a container's fields pair as renames by, in this order, a declared old name, the
-    same name in another spelling convention, the same documentation and type. What stays is added or removed, with
-    everything below it. Order, documentation and defaults do not count.
+    same name in another spelling convention, the same type with documentation that says the same, letter case and
+    punctuation aside. What stays is added or removed, with everything below it. Order, documentation and defaults do
+    not count.
     """
     out = [] if out is None else out
     pairs = [(o, new[n]) for n, o in old.items() if n in new]
@@ -356,7 +368,7 @@ def changes(old: dict[str, Node], new: dict[str, Node], old_at: str = "", new_at
                     del gone[o.name]
                     taken.append(n)
                     pairs.append((o, c))
-                    out.append((new_at + n, "renamed", old_at + o.name, c.sig + ("?" if c.nullable else "")))
+                    out.append((new_at + n, "renamed", old_at + o.name, c.type))
             for n in taken:
                 del come[n]
     _all(gone, old_at, "removed", out)
@@ -366,7 +378,7 @@ def changes(old: dict[str, Node], new: dict[str, Node], old_at: str = "", new_at
         if kept is not None:
             kept.append((after, before))
         if o.sig != c.sig or o.nullable != c.nullable:
-            out.append((after, "type_changed", before, c.sig + ("?" if c.nullable else "")))
+            out.append((after, "type_changed", before, c.type))
         if o.kids or c.kids:
             for b in {*o.kids, *c.kids}:
                 changes(o.kids.get(b, {}), c.kids.get(b, {}), f"{before}{b}.", f"{after}{b}.", out, kept)
@@ -385,10 +397,17 @@ def _respelled(c: Node, gone: dict[str, Node]) -> Node | None:
     return next((o for n, o in gone.items() if spelling(n) == s), None)
 
 
+def said(doc: str | None) -> str:
+    """What a documentation says: its words, without letter case and punctuation; empty if there is none."""
+    return " ".join(_WORDS.findall(doc.casefold())) if doc else ""
+
+
+_WORDS = re.compile(r"[^\W_]+")
+
+
 def _described(c: Node, gone: dict[str, Node]) -> Node | None:
-    if c.doc is None:
-        return None
-    return next((o for o in gone.values() if o.doc == c.doc and o.sig == c.sig and o.nullable == c.nullable), None)
+    says = said(c.doc)
+    return next((o for o in gone.values() if o.sig == c.sig and o.nullable == c.nullable and said(o.doc) == says), None) if says else None
 
 
 def fingerprint(fields: dict[str, Node]) -> str:

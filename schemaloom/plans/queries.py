@@ -16,7 +16,10 @@ QUERIES = {
     "p3_found": drift.schema_changes,
     "p3_steps": drift.changes_with_compatibility,
     "p3_fields": drift.field_table,
-    "p3_by_registry": drift.changes_per_month,
+    "p3_by_registry": drift.changes_per_registry,
+    "p3_fingerprints": drift.version_fingerprints,
+    "p3_rules": drift.version_rules,
+    "p3_routed": drift.routed_defaults,
     "p4_found": hierarchy.roots_and_depths,
     "p4_hierarchy": hierarchy.schema_hierarchy,
     "p4_descendants": hierarchy.descendant_pairs,

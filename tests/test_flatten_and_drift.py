@@ -171,6 +171,46 @@ def test_drift_of_nothing(tables, spark):
     assert rows(drift.schema_changes(spark, tables())) == [] and rows(drift.field_table(spark, tables())) == []
 
 
-def test_apply_steps(spark):
-    d = spark.createDataFrame([("1", "x"), ("no", "y")], "a string, b string")
-    assert rows(drift.apply_steps(d, {"a": "n"}, {"c": ("int", 7)}, {"n": "int"})) == [(1, "x", 7), (None, "y", 7)]
+def test_rename_by_reworded_documentation(tables, spark):
+    one = record(f("fee", "float", doc="Before, kept for during!"), f("b", doc="the one"), f("c", doc=" ! "), f("d", "int", doc="kept"))
+    two = record(f("offset", "float", doc="before kept for DURING"), f("x", doc="the other one"), f("y", doc="?"), f("e", "long", doc="kept"))
+    got = {x[3:] for x in rows(drift.schema_changes(spark, tables(glue_versions=[v(1, one), v(2, two)])))}
+    assert got == {("offset", "renamed")} | {(n, "removed") for n in "bcd"} | {(n, "added") for n in "xye"}
+
+
+ROUTE = [
+    record(f("userId"), f("total", "string"), f("gone"), f("flag", "boolean")),
+    record(f("user_id"), f("total", "int"), f("gone"), f("flag", "boolean"), f("kind", default="new \"x\"")),
+    record(f("user_id"), f("sum", "long", aliases=["total"]), f("flag", "boolean"), f("kind", default="new \"x\""), f("n", ["null", "int"], default=None), f("m", "int", default=7)),
+]
+
+
+def test_route_through_the_chain(tables, spark):
+    """Data of every version comes out in the newest shape, by the same rules as going version by version."""
+    versions = drift._versions(spark, tables(glue_versions=[v(i + 1, t) for i, t in enumerate(ROUTE)]))
+    fields = drift.consistent_fields(versions)
+    r = rows(drift.rules(drift.migration_steps(versions), fields).select("version_number", "rule", "old_path", "new_path", "argument"))
+    assert r == sorted([(2, "rename", "userId", "user_id", None), (2, "cast", "total", "total", "int"), (2, "default", None, "kind", '"new \\"x\\""'), (3, "rename", "total", "sum", None), (3, "cast", "total", "sum", "long"), (3, "drop", "gone", None, None), (3, "default", None, "n", "null"), (3, "default", None, "m", "7")], key=repr)
+    data = [(1, "a", {"userId": "u1", "total": "12", "gone": "x", "flag": "true"}), (1, "b", {"userId": "u2", "total": "many", "flag": None}), (2, "c", {"user_id": "u3", "total": "5", "kind": "old"}), (3, "d", {"user_id": "u4", "sum": "9", "m": "1"})]
+    long = spark.createDataFrame([("r", "s", n, i, k, x) for n, i, d in data for k, x in d.items()], "registry_name string, schema_name string, version_number long, row_id string, field_path string, value string")
+    out: dict = {}
+    for x in drift.route(long, drift.routes(fields)).collect():
+        out.setdefault(x["row_id"], {})[x["field_path"]] = (x["value"], x["rule"])
+    new = {"kind": ('new "x"', "default"), "n": (None, "default"), "m": ("7", "default")}
+    assert out == {
+        "a": {"user_id": ("u1", "rename"), "sum": ("12", "rename and cast"), "flag": ("true", "keep")} | new,
+        "b": {"user_id": ("u2", "rename"), "sum": (None, "rename and cast"), "flag": (None, "keep")} | new,
+        "c": {"user_id": ("u3", "keep"), "sum": ("5", "rename and cast"), "kind": ("old", "keep"), "n": new["n"], "m": new["m"]},
+        "d": {"user_id": ("u4", "keep"), "sum": ("9", "keep"), "m": ("1", "keep")},
+    }
+
+
+def test_kept_fingerprints(tables, spark):
+    old = drift._versions(spark, tables(glue_versions=[v(1, ROUTE[0]), v(2, ROUTE[0]), v(1, ROUTE[1], name="t")]))
+    kept = spark.createDataFrame(drift.fingerprints(old).toArrow())
+    prints = {(r.schema_name, r.version_number): r.fingerprint for r in kept.collect()}
+    assert prints["s", 1] == prints["s", 2] != prints["t", 1]
+    assert rows(drift.moved_on(old, kept)) == []
+    now = drift._versions(spark, tables(glue_versions=[v(1, ROUTE[0]), v(2, ROUTE[0]), v(1, ROUTE[1], name="t"), v(2, ROUTE[2], name="t")]))
+    assert {(x[1], x[2]) for x in rows(drift.moved_on(now, kept))} == {("t", 1), ("t", 2)}
+    assert rows(drift.version_fingerprints(spark, tables())) == rows(drift.routed_defaults(spark, tables())) == rows(drift.version_rules(spark, tables())) == []
