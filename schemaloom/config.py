@@ -26,6 +26,8 @@ class Target:
     url: str = ""
     api_key: str = ""
     api_secret: str = ""
+    set_compatibility: bool = False  # at the target, after a schema's versions
+    set_metadata: bool = False
 
 
 @dataclass

@@ -3,13 +3,55 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from schemaloom.functions import naming as N
+from schemaloom.functions import parsing as P
 from schemaloom.operators.diff import one_per_key
-from schemaloom.session import table
+from schemaloom.session import Workspace, table
+
+
+@dataclass
+class Catalog:
+    """What a plan is built over: registries(name), current schemas, versions once each, and parsed references."""
+
+    registries: DataFrame
+    schemas: DataFrame
+    versions: DataFrame
+    parsed: DataFrame
+
+
+def from_tables(spark, sf_dir: str) -> Catalog:
+    from schemaloom.operators.hierarchy import current_parsed
+
+    return Catalog(registries(spark, sf_dir), schemas(spark, sf_dir), versions(spark, sf_dir), current_parsed(spark, sf_dir))
+
+
+def from_registry(spark, options: dict[str, str], names: Sequence[str] = ()) -> Catalog:
+    """The catalog of a registry service, read once through the data source `schema_registry`.
+
+    options are the source's; names, if given, are the registries to read, and each must exist. References are those
+    that the latest definitions state.
+    """
+    from schemaloom.sources import registry as source
+
+    source.register(spark)
+    client = source.client(options)
+    rows = [client.get_registry(n) for n in names] if names else list(source.pages(client.list_registries))
+    regs = spark.createDataFrame([(r["name"], r.get("arn"), r.get("description")) for r in rows], "name string, arn string, description string")
+    read = spark.read.format("schema_registry").options(**options).load()
+    if names:
+        read = read.where(F.col("registry_name").isin(*names))
+    all_ = Workspace(spark, "registry").save(read)
+    heads = all_.select("registry_name", "name", "data_format", "compatibility", "description").distinct()
+    have = all_.where("version_number is not null").select("registry_name", "name", "version_number", "schema_version_id", "definition", "status", "created_time")
+    of = latest(have.select("registry_name", "name", "version_number", "definition")).join(heads.select("registry_name", "name", "data_format"), ["registry_name", "name"])
+    d, kind = F.col("definition"), F.col("data_format")
+    refs = F.when(kind == "AVRO", P.avro(d)["references"]).when(kind == "JSON", P.json_schema(d)["references"]).when(kind == "PROTOBUF", P.proto(d)["references"])
+    return Catalog(regs, heads, have, of.select("registry_name", "name", refs.alias("references")))
 
 
 def registries(spark, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from schemaloom.functions.keys import schema_key
 from schemaloom.operators.hierarchy import current_parsed
-from schemaloom.operators.references import resolve
+from schemaloom.operators.references import resolved
 from schemaloom.session import Workspace, union
 
 
@@ -20,8 +20,7 @@ def edges(nodes: DataFrame, targets: DataFrame | None = None) -> DataFrame:
 
     References are resolved among targets(registry_name, name), by default among the nodes themselves.
     """
-    refs = nodes.select(schema_key("registry_name", "name").alias("src"), "registry_name", F.explode("references").alias("ref"))
-    found = refs.join(resolve(refs, nodes if targets is None else targets), ["registry_name", "ref"]).select("src", F.col("target").alias("dst"))
+    found = resolved(nodes, targets).select("src", F.col("target").alias("dst"))
     return found.where("dst is not null and src <> dst").distinct()
 
 

@@ -26,10 +26,12 @@ def observed_references(refs: Column, context: Column) -> Column:
 def mapped_references(refs: DataFrame, mappings: DataFrame, latest: DataFrame) -> DataFrame:
     """(src, pos, name, subject, version): references by the subjects that the mapping gave their targets.
 
-    refs: src, pos, ref, target (resolved key). latest: source, version. One row per reference.
+    refs: src, pos, ref, target (resolved key). latest: source, version. One row per reference; name is the reference
+    without the registry before it.
     """
     to = mappings.select(schema_key("source_registry", "source_schema_name").alias("target"), full_target().alias("subject"))
-    return refs.where("target is not null").join(to, "target").join(latest.withColumnRenamed("source", "target"), "target", "left").select("src", "pos", F.col("ref").alias("name"), "subject", F.coalesce("version", F.lit(1)).cast("int").alias("version"))
+    name = F.when(F.col("ref") == F.col("target"), F.expr("substring(ref, instr(ref, ':') + 1)")).otherwise(F.col("ref"))
+    return refs.where("target is not null").join(to, "target").join(latest.withColumnRenamed("source", "target"), "target", "left").select("src", "pos", name.alias("name"), "subject", F.coalesce("version", F.lit(1)).cast("int").alias("version"))
 
 
 def schema_type(data_format: Column, observed: bool = False) -> Column:

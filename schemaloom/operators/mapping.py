@@ -16,6 +16,8 @@ from schemaloom.sources.files import NameMapping, RoleOverrides
 
 #: A lookup of at most so many rows is broadcast: it came from a file that the driver has read.
 BROADCAST_ROWS = 100_000
+#: A mapping of so many entries is part of the plan; a longer one is joined.
+LITERAL_ROWS = 1_000
 
 
 def lookup(df: DataFrame, rows: int) -> DataFrame:
@@ -27,7 +29,7 @@ def context(registry: Column, how: str, mapped: dict[str, str] | None = None) ->
     own = F.concat(F.lit("."), registry)
     if how == "flat":
         return F.lit("")
-    if how == "custom" and mapped:
+    if how == "custom" and mapped and len(mapped) <= LITERAL_ROWS:
         table = F.create_map(*[F.lit(x) for pair in mapped.items() for x in pair])
         return F.coalesce(F.concat(F.lit("."), F.try_element_at(table, registry)), own)
     return own
@@ -76,6 +78,11 @@ def map_schemas(schemas: DataFrame, c: Config, *, overrides: RoleOverrides | Non
         d = d.withColumn("custom", F.coalesce("q", "s"))
     else:
         d = d.withColumn("custom", F.lit(None).cast("struct<m_subject:string,m_role:string,m_context:string>"))
+    if c.naming.context_mapping == "custom" and contexts and len(contexts) > LITERAL_ROWS:
+        of = spark.createDataFrame([(k, f".{v}") for k, v in contexts.items()], "registry_name string, joined_context string")
+        d = d.join(lookup(of, len(contexts)), "registry_name", "left")
+    else:
+        d = d.withColumn("joined_context", F.lit(None).cast("string"))
     if suggestions is not None:
         d = d.join(suggestions.select("registry_name", "name", "suggested"), ["registry_name", "name"], "left")
     role = F.coalesce(F.col("custom.m_role"), F.col("found.role"))
@@ -86,7 +93,7 @@ def map_schemas(schemas: DataFrame, c: Config, *, overrides: RoleOverrides | Non
         F.col("registry_name").alias("source_registry"),
         F.col("name").alias("source_schema_name"),
         F.col("n_versions").cast("int").alias("source_versions"),
-        F.coalesce(F.col("custom.m_context"), context(F.col("registry_name"), c.naming.context_mapping, contexts)).alias("target_context"),
+        F.coalesce(F.col("custom.m_context"), F.col("joined_context"), context(F.col("registry_name"), c.naming.context_mapping, contexts)).alias("target_context"),
         F.coalesce(F.col("custom.m_subject"), sub, F.lit("")).alias("target_subject"),
         role.alias("detected_role"),
         F.when(given, "custom-mapping").otherwise(strategy).alias("naming_strategy"),
@@ -157,6 +164,12 @@ def _ranked(d: DataFrame, by_length: bool) -> DataFrame:
 # --- checks --------------------------------------------------------------------------------------------
 
 
+# The rules' messages below and these lists are what users of the original tool see.
+SPECIAL = ("/", ":", " ", "\\")
+VENDOR_PREFIXES = ("MSK_", "Glue_", "AWS_")
+VERSION_MARKS = ("_v1", "_v2", "-v1", "-v2", "_V1", "_V2")
+
+
 def subject_problem(c: Column) -> Column:
     """The first rule that a subject name breaks, else null."""
     return (
@@ -184,9 +197,9 @@ def warnings(source: Column, target: Column, references: Column, reference_strat
 
     rules = [
         F.when((source != target) & (base != bare), F.concat(F.lit("Schema name changed significantly: "), source, F.lit(" → "), target)),
-        first(("/", ":", " ", "\\"), lambda p: source.contains(p), lambda p: f"Name contains special character '{p}' which will be replaced"),
-        first(("MSK_", "Glue_", "AWS_"), lambda p: source.startswith(p), lambda p: f"Name has AWS-specific prefix '{p}' which may be removed"),
-        F.when(source.rlike("[_-]v[12]|_V[12]"), "Name contains version suffix which may be removed"),
+        first(SPECIAL, lambda p: source.contains(p), lambda p: f"Name contains special character '{p}' which will be replaced"),
+        first(VENDOR_PREFIXES, lambda p: source.startswith(p), lambda p: f"Name has AWS-specific prefix '{p}' which may be removed"),
+        first(VERSION_MARKS, lambda p: source.contains(p), lambda p: "Name contains version suffix which may be removed"),
         F.when(F.lit(reference_strategy != "rewrite") & (F.size(references) > 0), "Schema has references but reference strategy is not 'rewrite'"),
     ]
     return F.filter(F.array(*rules), lambda x: x.isNotNull())
@@ -200,3 +213,16 @@ def findings(mappings: DataFrame, reference_strategy: str = "rewrite") -> DataFr
     each = m.select("schema", F.explode(both).alias("f")).select("f.severity", "schema", "f.message")
     clash = collision_members(mappings).select(F.lit("error").alias("severity"), F.col("source").alias("schema"), F.concat(F.lit("Naming collision: multiple schemas map to "), "normalized_name").alias("message"))
     return each.unionByName(clash)
+
+
+def reference_findings(mappings: DataFrame, references: DataFrame, strategy: str = "rewrite", cross: str = "resolve") -> DataFrame:
+    """(severity, schema, message) of references(src, pos, ref, target) by what the settings make of them.
+
+    strategy fail: an error for each reference; cross fail or warn: an error or warning for each into another registry.
+    """
+    m = mappings.select(schema_key(*_SOURCE).alias("src"), F.concat_ws(".", *_SOURCE).alias("schema"))
+    r = references.join(m, "src")
+    outside = F.col("target").isNotNull() & (F.substring_index("src", ":", 1) != F.substring_index("target", ":", 1))
+    every = r.select("schema", F.lit("error").alias("severity"), F.concat(F.lit("Schema has a reference: "), "ref").alias("message")).where(F.lit(strategy == "fail"))
+    crossing = r.where(outside & F.lit(cross in ("fail", "warn"))).select("schema", F.lit("error" if cross == "fail" else "warning").alias("severity"), F.concat(F.lit("Reference into another registry: "), "ref").alias("message"))
+    return every.unionByName(crossing).select("severity", "schema", "message")

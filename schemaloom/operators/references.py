@@ -23,3 +23,12 @@ def resolve(refs: DataFrame, nodes: DataFrame) -> DataFrame:
     r = r.join(exact.withColumnRenamed("key", "ref"), "ref", "left").join(by_name, "ref", "left")
     r = r.withColumn("own_key", schema_key("registry_name", "ref")).join(own, "own_key", "left")
     return r.select("registry_name", "ref", F.when(F.col("is_exact"), F.col("ref")).when(F.col("is_own"), F.col("own_key")).otherwise(F.col("any_key")).alias("target"))
+
+
+def resolved(nodes: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+    """(src, pos, ref, target): every reference of nodes(registry_name, name, references), in order, with what it means.
+
+    target is null where it means nothing among targets, by default the nodes themselves.
+    """
+    refs = nodes.select(schema_key("registry_name", "name").alias("src"), "registry_name", F.posexplode("references").alias("pos", "ref")).where("ref is not null")
+    return refs.join(resolve(refs, nodes if targets is None else targets), ["registry_name", "ref"], "left").select("src", "pos", "ref", "target")

@@ -29,7 +29,11 @@ MEDIA_TYPE = "application/vnd.schemaregistry.v1+json"
 
 
 class Target(Protocol):
+    """What a target must answer; the last two only where compatibility and metadata are to be set."""
+
     def register(self, subject: str, body: str) -> None: ...
+    def set_compatibility(self, subject: str, level: str) -> None: ...
+    def set_metadata(self, subject: str, metadata: dict) -> None: ...
 
 
 @dataclass
@@ -102,13 +106,27 @@ def with_retry(call: Callable[[], None], attempts: int, delay: float, sleep: Cal
 
 
 def register_level(rows: DataFrame, make: Callable[[], Target], *, partitions: int, retries: int = 3, delay: float = 5.0, per_second: float = 0.0) -> DataFrame:
-    """A result per schema of rows(key, target, version_number, body); the first version that fails ends its schema."""
+    """A result per schema of rows(key, target, version_number, body); the first version that fails ends its schema.
+
+    Where rows have compatibility or metadata, these are set at the target once the schema's versions are there.
+    """
+    more = [c for c in ("compatibility", "metadata") if c in rows.columns]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         target, pace = make(), Pacer(per_second / partitions)
-        key, goal, sent, error = None, None, 0, None
+        key, goal, sent, error, last = None, None, 0, None, None
 
         def result() -> pd.DataFrame:
+            nonlocal error
+            if error is None and last is not None:
+                try:
+                    for c in more:
+                        if (value := getattr(last, c)) is not None:
+                            pace.wait()
+                            call = (lambda v=value: target.set_compatibility(goal, v)) if c == "compatibility" else (lambda v=value: target.set_metadata(goal, json.loads(v)))
+                            with_retry(call, retries, delay)
+                except Exception as e:
+                    error = str(e)
             return pd.DataFrame([(key, goal, sent, error is None, error)], columns=["key", "target", "versions", "ok", "error"])
 
         for pdf in batches:
@@ -117,6 +135,7 @@ def register_level(rows: DataFrame, make: Callable[[], Target], *, partitions: i
                     if key is not None:
                         yield result()
                     key, goal, sent, error = r.key, r.target, 0, None
+                last = r
                 if error is not None:
                     continue
                 try:
@@ -128,11 +147,23 @@ def register_level(rows: DataFrame, make: Callable[[], Target], *, partitions: i
         if key is not None:
             yield result()
 
-    d = rows.select("key", "target", "version_number", "body").repartition(partitions, "key").sortWithinPartitions("key", "version_number")
+    d = rows.select("key", "target", "version_number", "body", *more).repartition(partitions, "key").sortWithinPartitions("key", "version_number")
     return d.mapInPandas(run, RESULT)
 
 
 def append_ledger(results: DataFrame, path: str) -> None:
-    """Adds what succeeded to the ledger table."""
-    done = results.where("ok").select("key", F.substring_index("key", ":", 1).alias("source_registry"), F.expr("substring(key, instr(key, ':') + 1)").alias("source_schema"), F.col("target").alias("target_subject"), "versions", F.current_timestamp().alias("completed_at"))
-    done.write.mode("append").parquet(path)
+    """Adds what succeeded to the ledger table, and what failed to the table of failures beside it."""
+    key = [F.col("key"), F.substring_index("key", ":", 1).alias("source_registry"), F.expr("substring(key, instr(key, ':') + 1)").alias("source_schema"), F.col("target").alias("target_subject")]
+    results.where("ok").select(*key, "versions", F.current_timestamp().alias("completed_at")).write.mode("append").parquet(path)
+    results.where("not ok").select(*key, "versions", "error", F.current_timestamp().alias("failed_at")).write.mode("append").parquet(failures_at(path))
+
+
+def failures_at(path: str) -> str:
+    return path.rstrip("/") + ".failed"
+
+
+def failed(spark, path: str) -> DataFrame:
+    """(key, error): the schemas whose last attempt by this ledger failed."""
+    f = spark.read.parquet(failures_at(path)).groupBy("key").agg(F.max("failed_at").alias("failed_at"), F.max_by("error", "failed_at").alias("error"))
+    done = spark.read.parquet(path).groupBy("key").agg(F.max("completed_at").alias("completed_at"))
+    return f.join(done, "key", "left").where("completed_at is null or completed_at < failed_at").select("key", "error")

@@ -1,8 +1,9 @@
 """Schema registries as a Spark data source: `spark.read.format("schema_registry")`.
 
-A client answers five calls (registries, a registry, schemas, versions, a version), page by page; which client is an
+A client answers six calls (registries, a registry, schemas, a schema, versions, a version), page by page; which client is an
 option. The reader plans one partition per registry and share of its schemas, fetches only what the projection and
-the pushed filters ask for, and paces its calls so that all partitions together keep the rate.
+the pushed filters ask for, and paces its calls so that all partitions together keep the rate. The versions of a schema
+are fetched by several threads (option `threads`).
 """
 
 from __future__ import annotations
@@ -10,8 +11,10 @@ from __future__ import annotations
 import importlib
 import json
 import os
+import threading
 import time
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from typing import Protocol
 
@@ -26,6 +29,7 @@ class RegistryClient(Protocol):
     """What a registry must answer. Lists come in pages: (items, token of the next page or None)."""
 
     def list_registries(self, token: str | None) -> tuple[list[dict], str | None]: ...
+    def get_registry(self, name: str) -> dict: ...
     def list_schemas(self, registry: str, token: str | None) -> tuple[list[dict], str | None]: ...
     def get_schema(self, registry: str, name: str) -> dict: ...
     def list_versions(self, registry: str, name: str, token: str | None) -> tuple[list[int], str | None]: ...
@@ -47,7 +51,7 @@ class FolderClient:
 
     page = 50
 
-    def __init__(self, options: dict[str, str]):
+    def __init__(self, options: dict[str, str], credentials: dict[str, str] | None = None):
         self.path = options["path"]
 
     def _load(self, registry: str) -> dict:
@@ -65,6 +69,9 @@ class FolderClient:
     def list_registries(self, token):
         return self._page([{"name": f[:-5]} for f in sorted(os.listdir(self.path)) if f.endswith(".json")], token)
 
+    def get_registry(self, name):
+        return {k: v for k, v in self._load(name).items() if k != "schemas"}
+
     def list_schemas(self, registry, token):
         return self._page([{"name": s["name"]} for s in self._load(registry)["schemas"]], token)
 
@@ -91,24 +98,29 @@ def credentials(options: dict[str, str]) -> dict[str, str]:
 
 
 def client(options: dict[str, str]) -> RegistryClient:
-    """The client named by the option `client` (module:Class), by default the files under `path`."""
+    """The client named by the option `client` (module:Class), by default the files under `path`.
+
+    It is made with the options and with the credentials that they come down to.
+    """
     at = options.get("client", "schemaloom.sources.registry:FolderClient")
     module, _, name = at.partition(":")
-    return getattr(importlib.import_module(module), name)(options)
+    return getattr(importlib.import_module(module), name)(options, credentials(options))
 
 
 class Pacer:
-    """Lets through so many calls a second; one call at a time, no bursts."""
+    """Lets through so many calls a second, without bursts; threads may share it."""
 
     def __init__(self, per_second: float):
         self.gap, self.next = (1 / per_second if per_second > 0 else 0.0), 0.0
+        self.lock = threading.Lock()
 
     def wait(self) -> None:
         if self.gap:
-            now = time.monotonic()
-            if now < self.next:
-                time.sleep(self.next - now)
-            self.next = max(now, self.next) + self.gap
+            with self.lock:
+                now = time.monotonic()
+                at, self.next = max(now, self.next), max(now, self.next) + self.gap
+            if at > now:
+                time.sleep(at - now)
 
 
 def _time(text: str | None) -> datetime | None:
@@ -157,14 +169,22 @@ class VersionsReader(DataSourceReader):
     def read(self, partition: Share):
         c = client(self.options)
         pace = Pacer(float(self.options.get("calls_per_second", 0)) / max(1, int(self.options.get("parallel", 1))))
-        for name in partition.names:
-            pace.wait()
-            s = c.get_schema(partition.registry, name)
+
+        def version(name: str, n: int) -> dict:
             pace.wait()
-            for n in sorted(pages(c.list_versions, partition.registry, name)):
+            return c.get_version(partition.registry, name, n)
+
+        with ThreadPoolExecutor(max(1, int(self.options.get("threads", 4)))) as pool:
+            for name in partition.names:
+                pace.wait()
+                s = c.get_schema(partition.registry, name)
                 pace.wait()
-                v = c.get_version(partition.registry, name, n)
-                yield (partition.registry, name, s.get("data_format"), s.get("compatibility"), s.get("description"), n, v.get("schema_version_id"), v.get("definition"), v.get("status"), _time(v.get("created_time")))
+                head = (partition.registry, name, s.get("data_format"), s.get("compatibility"), s.get("description"))
+                numbers = sorted(pages(c.list_versions, partition.registry, name))
+                for n, v in zip(numbers, pool.map(lambda k, name=name: version(name, k), numbers)):
+                    yield (*head, n, v.get("schema_version_id"), v.get("definition"), v.get("status"), _time(v.get("created_time")))
+                if not numbers:  # a schema without versions is a row too
+                    yield (*head, None, None, None, None, None)
 
 
 class SchemaRegistry(DataSource):

@@ -1,5 +1,7 @@
 import json
+import os
 import threading
+import uuid
 from http.server import BaseHTTPRequestHandler, HTTPServer
 
 import pytest
@@ -206,12 +208,134 @@ def test_plan_and_execution(tables, spark, tmp_path):
     ledger, out = str(tmp_path / "ledger"), str(tmp_path / "target")
     done = plan.execute(spark, p, settings(), ledger, lambda: sink.FolderTarget(out))
     assert rows(done.select("level", "key", "versions", "ok")) == [(0, "r:OrderEvent", 1, True), (1, "r:UserEvent", 2, True)]
-    sent = [json.loads(x) for x in open(f"{out}/user-event-value.jsonl", encoding="utf-8")]
-    assert sent[0]["references"] == [{"name": "OrderEvent", "subject": "OrderEvent-value", "version": 1}] and sent[0]["schemaType"] == "AVRO"
-    assert rows(plan.execute(spark, p, settings(), ledger, lambda: sink.FolderTarget(out))) == []
-    plan.write_report(p, str(tmp_path / "report"))
-    plan.write_report(p, str(tmp_path / "csv"), "csv")
-    assert spark.read.json(str(tmp_path / "report")).count() == 3
+    again = settings()
+    again.checkpoint.resume = True
+    assert rows(plan.execute(spark, p, again, ledger, lambda: sink.FolderTarget(out))) == []
+    assert plan.execute(spark, p, settings(), ledger, lambda: sink.FolderTarget(out)).count() == 2  # without resume all is sent
+    assert rows(sink.failed(spark, ledger)) == []
+    plan.write_report(p, str(tmp_path / "report"), results=done)
+    plan.write_report(p, str(tmp_path / "csv"), "csv", dry_run=True)
+    got = {r["source_schema"] if "source_schema" in r else r["source_schema_name"]: (r["status"], r["versions_migrated"]) for r in spark.read.json(str(tmp_path / "report" / "schemas")).collect()}
+    assert got == {"OrderEvent": ("success", 1), "UserEvent": ("success", 2), "empty": ("ready", None)}
+    head = json.loads((tmp_path / "report" / "summary.json").read_text())
+    assert head["results"]["n_successful"] == 2 and head["results"]["schemas"] == 3 and not head["dry_run"] and head["config"]["reference_strategy"] == "rewrite"
+    (tmp_path / "damaged").mkdir()
+    (tmp_path / "damaged" / "part.parquet").write_text("no parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        plan.execute(spark, p, again, str(tmp_path / "damaged"), lambda: sink.FolderTarget(out))
+
+
+def test_references_name_the_mapped_subjects(tables, spark, tmp_path):
+    """Two renamed schemas: the body names the subject and version under which the target was registered."""
+    names = tmp_path / "names.yaml"
+    names.write_text("qualified_mappings: {'r:OrderEvent': orders-now}\n")
+    parsed = [dict(registry_name="r", name="UserEvent", references=["r:OrderEvent", "nowhere", "empty"], parsed_at=day(0)), dict(registry_name="r", name="OrderEvent", references=["UserEvents"], parsed_at=day(0))]
+    d = catalog_tables(tables, parsed_schemas=parsed, glue_versions=[dict(registry_name="r", schema_name=n, version_number=k, definition="{}", status="AVAILABLE", ingested_at=day(0)) for n, k in (("UserEvent", 1), ("OrderEvent", 4), ("OrderEvent", 9), ("empty", 2))])
+    c = settings(name_mapping_file=str(names), context_mapping="registry")
+    p, out = plan.build(spark, d, c), str(tmp_path / "target")
+    plan.execute(spark, p, c, str(tmp_path / "state.json"), lambda: sink.FolderTarget(out))
+    sent = lambda n: json.loads(open(f"{out}/{n}.jsonl", encoding="utf-8").readline())
+    assert sent(".r%3Auser-event-value")["references"] == [{"name": "OrderEvent", "subject": ".r:orders-now", "version": 2}, {"name": "empty", "subject": ".r:empty-value", "version": 1}]
+    assert "references" not in sent(".r%3Aorders-now")
+    state = files.load_state(str(tmp_path / "state.json"))
+    assert (state["total_schemas"], state["completed_count"], state["failed_count"]) == (3, 3, 0)
+    files.save_state(str(tmp_path / "old.json"), {"completed_schemas": {"r:UserEvent": {}}})
+    c.checkpoint.resume = True
+    assert rows(plan.execute(spark, p, c, str(tmp_path / "old.json"), lambda: sink.FolderTarget(out)).select("key")) == [("r:OrderEvent",), ("r:empty",)]
+    observed = plan.bodies(p, p.versions.select(F.concat("registry_name", F.lit(":"), "name").alias("key"), "version_number", "definition"), observed=True)
+    assert "OrderEvent-value" in observed.where("key = 'r:UserEvent'").first()["body"]
+
+
+def test_reference_strategies(tables, spark, tmp_path):
+    parsed = [dict(registry_name="r", name="UserEvent", references=["OrderEvent", "q:far"], parsed_at=day(0))]
+    d = catalog_tables(tables, parsed_schemas=parsed, glue_schemas=[dict(registry_name=r, name=n, data_format="AVRO", updated_time=day(0)) for r, n in (("r", "UserEvent"), ("r", "OrderEvent"), ("q", "far"))])
+
+    def with_(**migration):
+        c = settings()
+        c.migration = config.Migration(**migration)
+        return plan.build(spark, d, c)
+
+    assert rows(with_(reference_strategy="skip").mappings.where("status = 'skipped'").select("source_schema_name")) == [("UserEvent",)]
+    errors = lambda p, s: [m for _, _, m in rows(p.findings.where(F.col("severity") == s)) if "reference" in m.lower()]
+    assert len(errors(with_(reference_strategy="fail"), "error")) == 2
+    assert errors(with_(cross_registry_refs="fail"), "error") == ["Reference into another registry: q:far"] == errors(with_(cross_registry_refs="warn"), "warning")
+    assert errors(with_(), "error") == []
+
+
+class Recorder:
+    """A target that writes down what it is asked, one file per call."""
+
+    def __init__(self, path):
+        self.path = path
+
+    def _note(self, *what):
+        os.makedirs(self.path, exist_ok=True)
+        with open(os.path.join(self.path, uuid.uuid4().hex), "w", encoding="utf-8") as f:
+            json.dump(what, f)
+
+    def register(self, subject, body):
+        self._note("register", subject)
+
+    def set_compatibility(self, subject, level):
+        self._note("compatibility", subject, level)
+
+    def set_metadata(self, subject, metadata):
+        self._note("metadata", subject, metadata)
+
+
+def test_a_run_from_a_registry_service(spark, tmp_path):
+    user = json.dumps({"type": "record", "name": "User", "fields": [{"name": "o", "type": "Order"}]})
+    schemas = [{"name": "User", "data_format": "AVRO", "compatibility": "FULL", "description": "who", "versions": [{"version_number": 1, "definition": user}]}, {"name": "Order", "data_format": "AVRO", "versions": [{"version_number": 1, "definition": "{}"}]}, {"name": "none", "data_format": "JSON", "versions": []}]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "r1.json").write_text(json.dumps({"name": "r1", "schemas": schemas}))
+    c = settings()
+    c.aws.registry_all, c.aws.registry_names = False, ["r1"]
+    c.confluent_cloud.set_compatibility = c.confluent_cloud.set_metadata = True
+    c.checkpoint.file, c.output.report_file = str(tmp_path / "ledger"), str(tmp_path / "report")
+    args = cli.parser().parse_args(["migrate", "--registry-option", f"path={tmp_path / 'in'}"])
+    out = str(tmp_path / "out")
+    assert cli.migrate(spark, c, args, lambda: Recorder(out)) == 0
+    said = sorted(json.load(open(os.path.join(out, f), encoding="utf-8")) for f in os.listdir(out))
+    assert said == [["compatibility", "user-value", "FULL"], ["metadata", "user-value", {"properties": {"description": "who"}}], ["register", "order-value"], ["register", "user-value"]]
+    assert json.loads((tmp_path / "report" / "summary.json").read_text())["results"]["schemas"] == 3
+    c.aws.registry_names = ["absent"]
+    with pytest.raises(LookupError):
+        cli.migrate(spark, c, args)
+
+
+def test_names_by_a_model_in_a_run(tables, spark, tmp_path):
+    c = settings(subject_strategy="llm")
+    c.llm.cache_file, c.llm.rate_limit, c.concurrency.llm_rate_limit = str(tmp_path / "cache"), 0, 0
+    d = catalog_tables(tables)
+    p = plan.build(spark, d, c, make=lambda: suggest.Fixed(0.5))
+    assert rows(p.mappings.select("target_subject", "naming_strategy")) == [("empty-value", "llm"), ("orderevent-value", "llm"), ("userevent-value", "llm")]
+    t = plan.totals(p).first()
+    assert (t["n_calls"], t["cost"]) == (3, 1.5)
+    p = plan.build(spark, d, c, make=lambda: None)  # all cached
+    assert plan.totals(p).first()["n_calls"] == 0 and p.mappings.where("naming_strategy = 'llm'").count() == 3
+    kept = suggest.Cache(spark, c.llm.cache_file, c.llm.model)
+    assert kept.count() == 3 and kept.get("r", "UserEvent", "value") == "userevent-value" and kept.get("r", "UserEvent", "key") is None
+    assert suggest.Cache(spark, c.llm.cache_file, "another").count() == 0
+    kept.clear()
+    assert kept.count() == 0
+
+
+def test_the_whole_budget_is_spent(spark):
+    prompts = spark.createDataFrame([("r", f"n{i}", "Schema: x\nRole: key") for i in range(40)], "registry_name string, name string, prompt string")
+    calls = suggest.ask_all(prompts, lambda: suggest.Fixed(1.0), max_cost=31.0, partitions=4)
+    n = calls.agg(F.count("answer").alias("n"), F.count("*").alias("all")).first()
+    assert 31 <= n["n"] <= 34 and n["all"] == 40  # a call that is under way may pass the limit, one per partition
+
+
+def test_prompt_types(spark):
+    types = {'"int"': "int", '{"type": "array", "items": "int"}': "array", '{"type": {"type": "map"}, "name": "N"}': "N", '{"x": 1}': "complex", '["null", {"type": "record"}, "int"]': "null|int", '[{"type": "record"}]': "complex"}
+    fields = ", ".join(f'{{"name": "f{i}", "type": {t}}}' for i, t in enumerate(types))
+    d = spark.createDataFrame([(f'{{"name": "R", "fields": [{fields}]}}', "AVRO"), ('{"title": "T", "properties": {"b": {"type": "string"}, "a": {}}}', "JSON"), ("package p.q;\nmessage M {\n  int32 a = 1;\n}", "PROTOBUF"), ("damaged", "AVRO")], "d string, f string")
+    got = [r["c"] for r in d.select(suggest.context(F.col("d"), F.col("f")).alias("c")).collect()]
+    assert got[0]["key_fields"] == [f"f{i} ({t})" for i, t in enumerate(types.values())] and got[0]["field_count"] == 6
+    assert got[1]["key_fields"] == ["a (object)", "b (string)"] and got[1]["record_name"] == "T"
+    assert (got[2]["record_name"], got[2]["namespace"], got[2]["key_fields"], got[2]["field_count"]) == ("M", "p.q", ["a (int32)"], 1)
+    assert got[3]["field_count"] == 0 and got[3]["key_fields"] == []
 
 
 def test_execution_stops_at_errors_and_cycles(tables, spark, tmp_path):
