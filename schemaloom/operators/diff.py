@@ -5,7 +5,7 @@ key of either side gets the same dense ordinal; a presence bitmap per side then
 the intersection gives the ordinals by which the columns of both sides are gathered and compared, column by column.
 
 Defined results: a null key takes part in nothing (it names no row); null equals null and differs from any value;
-rows repeated under one key count once (the first in `prefer` order where given, else the smallest value); an empty
+rows repeated under one key count once (the greatest in `prefer` order where given, ties by the greatest values); an empty
 side makes all rows of the other missing. Other columns of the input are not read.
 """
 
@@ -166,8 +166,9 @@ def differences_by_field(spark, sf_dir: str) -> DataFrame:
 
 
 def catalog_presence(spark, sf_dir: str) -> DataFrame:
-    """The presence bitmaps of expected and stored targets, as counts per bucket."""
+    """How many expected and stored targets there are on one side only and on both, by the presence bitmaps."""
     rows = table(spark, sf_dir, "mappings").count() + table(spark, sf_dir, "subjects").count()
     expected = table(spark, sf_dir, "mappings", "target_context", "target_subject", "status").where(F.col("status").isin("ready", "warning")).select(target_key("target_context", "target_subject").alias("key"))
     stored = table(spark, sf_dir, "subjects", "context", "name").select(target_key("context", "name").alias("key"))
-    return presence_bitmaps(expected, stored, rows=rows)
+    counts = presence_bitmaps(expected, stored, rows=rows).agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_keys", "only_left", "only_right", "both")))
+    return counts.select("n_keys", F.col("only_left").alias("only_expected"), F.col("only_right").alias("only_stored"), "both")

@@ -297,8 +297,8 @@ def parent_links(spark, sf_dir: str) -> DataFrame:
 
 
 def schema_hierarchy(spark, sf_dir: str) -> DataFrame:
-    """Every schema with its path, depth, root, descendants' interval, and the level its mapping states."""
-    h = hierarchy(parent_links(spark, sf_dir))
+    """Every schema with its path, depth, root, size of its subtree, and the level its mapping states."""
+    h = hierarchy(parent_links(spark, sf_dir)).drop("tree_no")
     stated = table(spark, sf_dir, "mappings", "source_registry", "source_schema_name", "dependency_level")
     stated = stated.select(schema_key("source_registry", "source_schema_name").alias("key"), "dependency_level").groupBy("key").agg(F.min("dependency_level").alias("stated_level"))
     return h.join(stated, "key", "left").withColumn("level_differs", ~F.col("stated_level").eqNullSafe(F.col("depth")))

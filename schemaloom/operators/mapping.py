@@ -12,6 +12,7 @@ from schemaloom.functions import naming as N
 from schemaloom.functions import parsing as P
 from schemaloom.functions import roles as R
 from schemaloom.functions.keys import schema_key, target_key
+from schemaloom.session import Workspace
 from schemaloom.sources.files import NameMapping, RoleOverrides
 
 #: A lookup of at most so many rows is broadcast: it came from a file that the driver has read.
@@ -119,7 +120,10 @@ def collisions(mappings: DataFrame) -> DataFrame:
 
 
 def collision_members(mappings: DataFrame) -> DataFrame:
-    """(normalized_name, source): one row per schema of a collision, so that no group is ever collected."""
+    """(normalized_name, source): one row per schema of a collision, so that no group is ever collected.
+
+    mappings are read twice: pass them written.
+    """
     m = mappings.select(full_target().alias("normalized_name"), F.concat_ws(".", *_SOURCE).alias("source"))
     return m.join(collisions(mappings).select("normalized_name"), "normalized_name", "left_semi")
 
@@ -132,6 +136,8 @@ def resolve_collisions(mappings: DataFrame, how: str = "suffix", observed: bool
     """
     if how not in ("suffix", "registry-prefix", "prefer-shorter", "skip"):
         return mappings
+    # Written once: the places are counted from the rows as they are, not from the definitions again.
+    mappings = Workspace(mappings.sparkSession, "collisions").save(mappings)
     d = _ranked(mappings.withColumn("_target", F.coalesce(full_target(), F.lit(""))), how == "prefer-shorter")
     clash, later = F.col("_n") > 1, F.col("_i") > 0
     if how == "suffix":

@@ -86,10 +86,58 @@ b as (
 found as (select distinct src_table, src_key, ref, reason, seen_at from (select * from a union all by name select * from b) where reason is not null)
 """
 
+_WALKED = _P4 + """,
+loops as (select k from last where loop),
+below as (select here as key, k descendant, steps::bigint steps from walk where k not in (select k from loops)),
+sizes as (select key, count(*) n from below group by 1),
+stated as (select source_registry||':'||source_schema_name key, min(dependency_level) stated_level from mappings group by 1),
+tree as (
+  select p.k as key, link.parent, coalesce(f.root_key, p.k) root_key, coalesce(f.depth, 0) depth,
+         case when f.depth=-1 then null when f.depth is null then p.k else array_to_string(list_reverse(last.seen), ' > ') end path,
+         case when coalesce(f.depth, 0)>=0 then 1+coalesce(s.n, 0) end as size, coalesce(f.depth=-1, false) is_cyclic
+  from p left join link on link.k=p.k left join found f on f.schema_key=p.k left join last on last.k=p.k left join sizes s on s.key=p.k)
+"""
+
+# Walks each definition from its objects and arrays down: a member of `properties`, or an element of `fields`, is a field.
+_P2 = r"""
+with recursive d as (
+  select distinct schema_version_id id, definition::json j, regexp_matches(definition, '"fields"\s*:\s*\[\s*\{') avro
+  from glue_versions where json_valid(definition) and regexp_matches(definition, '^\s*\{')),
+n(id, avro, j, ctx, path, depth, is_field) as (
+  select id, avro, j, '', '', 0, false from d
+  union all
+  select id, avro, v, ctx2,
+         case when is_new then case when path='' then name else path||'.'||name end
+              else path||case when ctx2 in ('items','prefixItems') then '[]' when ctx2 in ('values','additionalProperties') then '{}' else '' end end,
+         depth + is_new::int, is_new
+  from (
+    select id, avro, path, depth, e.k, e.v v,
+           (ctx='properties' and not avro) or (ctx='fields' and avro and json_type(j)='ARRAY') is_new,
+           case when ctx='properties' and not avro then e.k else e.v->>'$.name' end as name,
+           case when ctx in ('properties','patternProperties','definitions','$defs','fields') and e.k is not null or json_type(j)='ARRAY' then '' else e.k end ctx2,
+           ctx
+    from (
+      select id, avro, j, ctx, path, depth,
+             unnest(case json_type(j) when 'OBJECT' then list_transform(map_entries(json_transform(j, '"MAP(VARCHAR,JSON)"')), lambda x: {'k': x.key, 'v': x.value})
+                                      when 'ARRAY' then list_transform(json_extract(j, '$[*]'), lambda x: {'k': '', 'v': x}) end) e
+      from n where json_type(j) in ('OBJECT','ARRAY')))
+  where (is_new and name is not null) or (not is_new and json_type(v) in ('OBJECT','ARRAY')
+    and not list_contains(['default','doc','description','symbols','enum','const','examples','aliases','required'], ctx2)))
+"""
+
 SQL = {
     "p1_found": _P1 + "select * from found",
     "p1_by_field": _P1 + "select field, count(*) n_targets from found group by 1",
+    "p1_presence": _P1 + ", e as (select distinct k from m), t as (select distinct k from s) select (select count(*) from (select k from e union select k from t)) n_keys, (select count(*) from e where k not in (select k from t)) only_expected, (select count(*) from t where k not in (select k from e)) only_stored, (select count(*) from e where k in (select k from t)) as both",
+    "p2_found": _P2 + "select distinct id schema_version_id, path field_path from n where is_field and depth>=3",
+    "p2_top_level": """with d as (select distinct schema_version_id id, definition::json j from glue_versions where json_valid(definition) and regexp_matches(definition, '^\\s*\\{')), f as (select id, unnest(json_extract(j,'$.fields[*]')) x, unnest(range(len(json_extract(j,'$.fields[*]'))))::int ordinal from d)
+select id, ordinal, x->>'$.name' as name, case when json_type(x,'$.type')='VARCHAR' then x->>'$.type' end as type, x->>'$.doc' doc from f where x->>'$.name' is not null""",
+    "p2_unparsed": """with s as (select registry_name, name, arg_max(data_format, updated_time) data_format from glue_schemas group by 1,2), v as (select distinct registry_name, schema_name, schema_version_id, definition from glue_versions)
+select v.registry_name, data_format, case when definition is null then 'null' when trim(definition)='' then 'empty' else 'damaged' end state, count(*) n_versions from v left join s on s.registry_name=v.registry_name and s.name=v.schema_name
+where definition is null or trim(definition)='' or (data_format in ('AVRO','JSON') and not (json_valid(definition) and regexp_matches(definition,'^\\s*[{\\[]'))) group by all""",
     "p4_found": _P4 + "select * from found",
+    "p4_descendants": _WALKED + "select * from below",
+    "p4_hierarchy": _WALKED + "select tree.*, stated_level, stated_level is distinct from depth level_differs from tree left join stated on stated.key=tree.key",
     "p5_found": _P5 + "select distinct src_table, src_key, ref, reason from found",
     "p5_by_month": _P5 + "select src_table, strftime(seen_at, '%Y-%m') as month, reason, count(*) n_orphans from found group by all",
 }
