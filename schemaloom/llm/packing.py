@@ -171,3 +171,17 @@ def container_fill(spark, sf_dir: str, ranks_path: str = RANKS) -> DataFrame:
     """One row: containers, tokens, unused space and its share."""
     c = document_containers(spark, sf_dir, ranks_path).groupBy("block", "container").agg(F.sum("n_tokens").alias("used"))
     return c.agg(F.count("*").alias("n_containers"), F.sum("used").alias("n_tokens"), (F.count("*") * CAPACITY - F.sum("used")).alias("unused"), (1 - F.sum("used") / (F.count("*") * CAPACITY)).alias("unused_share"))
+
+
+def what_was_kept(spark, sf_dir: str, ranks_path: str = RANKS) -> DataFrame:
+    """One row: containers above capacity, texts cut that fit whole, texts with tokens missing or packed twice, texts packed."""
+    counts = Workspace(spark, "kept").save(token_counts(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text", ranks_path))
+    packed = Workspace(spark, "kept").save(pack(counts))
+    over = packed.groupBy("block", "container").agg(F.sum("n_tokens").alias("used")).agg(F.count(F.when(F.col("used") > CAPACITY, 1)).alias("n_overfull"))
+    # A text's pieces follow one another from its first token to its last.
+    per = packed.groupBy("id").agg(F.count("*").alias("n"), F.countDistinct("first_token").alias("n_starts"), F.sum("n_tokens").alias("packed"), F.max(F.col("first_token") + F.col("n_tokens")).alias("end"))
+    j = counts.where("n_tokens > 0").groupBy("id").agg(F.sum("n_tokens").alias("n_tokens")).join(per, "id", "left")
+    whole = F.col("packed").eqNullSafe(F.col("n_tokens")) & (F.col("n") == F.col("n_starts")) & (F.col("end") == F.col("n_tokens"))
+    texts = j.agg(F.count(F.when((F.col("n_tokens") <= CAPACITY) & (F.col("n") > 1), 1)).alias("n_needless_cuts"), F.count(F.when(~F.coalesce(whole, F.lit(False)), 1)).alias("n_lost_or_repeated"), F.count("*").alias("n_documents"))
+    one = F.lit(1).alias("one")  # one row each
+    return over.withColumn("one", one).join(texts.withColumn("one", one), "one").drop("one")

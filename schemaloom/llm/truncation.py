@@ -326,8 +326,8 @@ def length_limits(ends: DataFrame) -> DataFrame:
     each = ends.select("in_doubt", "own_key", F.explode(units).alias("x")).select("in_doubt", "own_key", "x.unit", "x.length")
     own = each.where("length > 0").groupBy("own_key", "unit", "length").agg(F.count(F.when(F.col("in_doubt"), 1)).alias("n"), F.count(F.when(~F.col("in_doubt"), 1)).alias("n_well"))
     every = own.groupBy("unit", "length").agg(F.sum("n").alias("n"), F.sum("n_well").alias("n_well"), F.count(F.when(F.col("n") > 0, 1)).alias("n_sources"), F.max("n").alias("n_one"))
-    sources = ends.agg(F.countDistinct("own_key").alias("of_sources"))
-    every = every.join(F.broadcast(sources)).where("n_sources >= 2 and n_sources * 2 >= of_sources and n_one * 2 <= n")  # one row is joined
+    sources = ends.agg(F.countDistinct("own_key")).first()[0]
+    every = every.where((F.col("n_sources") >= 2) & (F.col("n_sources") * 2 >= sources) & (F.col("n_one") * 2 <= F.col("n")))
     per = own.withColumnRenamed("own_key", "source_key").unionByName(every.select(F.lit(EVERY).alias("source_key"), "unit", "length", "n", "n_well"))
     per = per.withColumn("near", F.floor(F.col("length") / F.lit(NEARBY)))
     around = per.groupBy("source_key", "unit", "near").agg(F.sum("n").alias("n_near"), F.max("n").alias("n_most"))
@@ -339,10 +339,9 @@ def length_limits(ends: DataFrame) -> DataFrame:
 
 def vandal_lines(ends: DataFrame) -> DataFrame:
     """(line): lines that are the whole text of revisions of ends(line, whole, page_id) on several pages."""
-    pages = ends.agg(F.approx_count_distinct("page_id").alias("n_pages"))
+    pages = ends.agg(F.approx_count_distinct("page_id")).first()[0]
     lines = ends.where("whole and line is not null and line not like '#%'").groupBy("line").agg(F.countDistinct("page_id").alias("n"))
-    least = F.greatest(F.lit(float(MIN_PAGES)), F.col("n_pages") * PAGE_SHARE)
-    return lines.join(F.broadcast(pages)).where(F.col("n") >= least).select("line")  # one row is joined
+    return lines.where(F.col("n") >= max(MIN_PAGES, pages * PAGE_SHARE)).select("line")
 
 
 def judge(documents: DataFrame) -> DataFrame:
