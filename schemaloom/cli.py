@@ -96,7 +96,7 @@ def main(argv: list[str] | None = None) -> int:
     if c.output.log_file:
         handlers.append(logging.FileHandler(c.output.log_file))
     logging.basicConfig(level=c.output.log_level.upper(), handlers=handlers, force=True)
-    from schemaloom.session import local_session
+    from schemaloom.session import clean, local_session
 
     spark = local_session(c.concurrency.workers)
     _stop(spark)
@@ -105,6 +105,8 @@ def main(argv: list[str] | None = None) -> int:
     except KeyboardInterrupt:
         print("interrupted", file=sys.stderr)
         return 130
+    finally:
+        clean(spark)
 
 
 def migrate(spark, c: cfg.Config, args: argparse.Namespace, make=None) -> int:

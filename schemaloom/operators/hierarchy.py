@@ -289,11 +289,13 @@ def current_parsed(spark, sf_dir: str) -> DataFrame:
 
 def parent_links(spark, sf_dir: str) -> DataFrame:
     """(key, parent): the first reference that resolves to a schema other than the row's own."""
-    nodes = current_parsed(spark, sf_dir).withColumn("key", schema_key("registry_name", "name"))
+    work = Workspace(spark, "links")
+    # Written once: the current rows are told by a sort, and four joins read them.
+    nodes = work.save(current_parsed(spark, sf_dir).select("registry_name", "name", "references", schema_key("registry_name", "name").alias("key")))
     refs = nodes.select("key", "registry_name", F.posexplode("references").alias("pos", "ref")).where("ref is not null")
     found = refs.join(resolve(refs, nodes), ["registry_name", "ref"]).where("target is not null and target <> key")
-    first = found.groupBy("key").agg(F.min_by("target", "pos").alias("parent"))
-    return nodes.select("key").join(first, "key", "left")
+    first = found.groupBy("key").agg(F.min(F.struct("pos", "target")).alias("first"))
+    return nodes.select("key").join(first, "key", "left").select("key", F.col("first.target").alias("parent"))
 
 
 def schema_hierarchy(spark, sf_dir: str) -> DataFrame:
