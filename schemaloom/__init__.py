@@ -1,3 +1,3 @@
 """schemaloom: schema-catalog relations and large-scale data checks on PySpark."""
 
-__version__ = "0.1.0"
+__version__ = "0.2.0"
