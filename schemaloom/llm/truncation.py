@@ -380,7 +380,9 @@ def judge(documents: DataFrame) -> DataFrame:
     cut = doubt.select("source", "print", (~F.col("is_vandal") & (F.col("state") != "stub")).alias("in_doubt"), "n_chars", "n_bytes", F.when(~F.col("is_vandal"), F.col("n_body")).alias("n_body"))
     well = ends.where("state = 'closed'").select("source", "print", F.lit(False).alias("in_doubt"), "n_chars", "n_bytes", F.lit(None).cast("int").alias("n_body"))
     limits = work.save(length_limits(cut.unionByName(well)))
-    j = doubt.withColumn("source_key", F.coalesce("source", F.lit(NO_SOURCE))).withColumn("band", F.floor(F.col("n_body") / BAND).cast("int")).join(last, "last", "left")
+    j = doubt.withColumn("source_key", F.coalesce("source", F.lit(NO_SOURCE))).withColumn("band", F.floor(F.col("n_body") / BAND).cast("int"))
+    # Ends without a last word meet none, each under a key of its own, not all under one.
+    j = j.withColumn("last", F.coalesce("last", F.concat(F.lit("\0"), F.xxhash64("doc_id").cast("string")))).join(last, "last", "left")
     at_limit = F.lit(False)
     for unit_, column in (("chars", "n_chars"), ("bytes", "n_bytes"), ("body", "band")):
         one = limits.where(F.col("unit") == unit_)
