@@ -23,6 +23,7 @@ from schemaloom.operators.references import resolved
 from schemaloom.plans import plan
 from schemaloom.plans.oracle import _KEY
 from schemaloom.session import Workspace, table
+from schemaloom.sources import registry as source
 from schemaloom.sources.files import NameMapping, RoleOverrides
 
 QUERIES: dict = {}
@@ -136,6 +137,35 @@ def _(spark, d):
     return C.registries(spark, d).select("name", N.parse_time(text).alias("created"))
 
 
+def _from_service(spark, d):
+    source.register(spark)
+    return spark.read.format("schema_registry").option("client", "schemaloom.sources.registry:TablesClient").option("path", d).option("schemas_per_partition", 500).load()
+
+
+_SERVED = f"""with {S}, {V} select S.registry_name, S."name", S.data_format, V.version_number, V.schema_version_id, md5(V.definition) print from S left join V on V.registry_name=S.registry_name and V."name"=S."name" """
+
+
+@query("service_versions", _SERVED)
+def _(spark, d):
+    """Every version, page by page, as a registry service gives them."""
+    return _from_service(spark, d).select("registry_name", "name", "data_format", "version_number", "schema_version_id", F.md5("definition").alias("print"))
+
+
+@query("service_one_registry", _SERVED + "where S.registry_name='shared-hub'")
+def _(spark, d):
+    """One registry: the filter reaches the service, which is asked for no other."""
+    return _from_service(spark, d).where("registry_name = 'shared-hub'").select("registry_name", "name", "data_format", "version_number", "schema_version_id", F.md5("definition").alias("print"))
+
+
+@query("service_plan", f"""with {MAP}, C as (select registry_name, count(*) n, sum(n_versions)::bigint v from M where registry_name='shared-hub' group by 1), W as (select subject, row_number() over (partition by subject order by "name")-1 i from M where registry_name='shared-hub') select registry_name source_registry, n n_schemas, v n_versions, (select count(*) from W where i>0) n_renamed from C""")
+def _(spark, d):
+    """A plan over one registry of the service."""
+    c = Config()
+    c.aws.registry_names = ["shared-hub"]
+    p = plan.build(spark, None, c, catalog=C.from_registry(spark, {"client": "schemaloom.sources.registry:TablesClient", "path": d, "schemas_per_partition": "500"}, ["shared-hub"]))
+    return p.mappings.groupBy("source_registry").agg(F.count("*").alias("n_schemas"), F.sum("source_versions").alias("n_versions"), F.count(F.when(F.array_contains("transformations", "collision-suffix"), 1)).alias("n_renamed"))
+
+
 # --- names -------------------------------------------------------------------------------------------
 
 _NAMES = f"""with {S}, X as (select registry_name, name, registry_name||':'||name||'/ v?'||data_format raw from S) select registry_name, name, """
@@ -260,6 +290,12 @@ def _(spark, d):
     return _detected(spark, d, KeyValue(), RoleOverrides({}, registries={"shared-hub": {"key_patterns": ["^c"]}}))
 
 
+@query("role_override", f"""with {RO}, K as (select max("name") n, min(registry_name||'.'||"name") k from S) select registry_name, "name", case when "name"=K.n then 'key' when registry_name||'.'||"name"=K.k then 'value' else "role" end as "role", case when "name"=K.n or registry_name||'.'||"name"=K.k then 'Override file' else reason end reason from RO, K""")
+def _(spark, d):
+    k = C.schemas(spark, d).agg(F.max("name").alias("n"), F.min(F.concat_ws(".", "registry_name", "name")).alias("k")).first()
+    return _detected(spark, d, KeyValue(), RoleOverrides({k["n"]: "key", k["k"]: "value"}))
+
+
 @query("role_structure", f"""with {PS} select registry_name, "name", case when len(fields) between 1 and 3 and len(list_filter(fields, lambda f: regexp_matches(lower(f."name"),'id|key|uuid|partition_key|entity_id|pk')))>0 then 'key' when len(fields)>5 then 'value' end as "role" from P""")
 def _(spark, d):
     p = table(spark, d, "parsed_schemas", "registry_name", "name", "fields", "parsed_at")

@@ -88,6 +88,60 @@ class FolderClient:
         return next(v for v in self._schema(registry, name)["versions"] if v["version_number"] == number)
 
 
+class TablesClient:
+    """A registry kept in the catalog's Parquet tables under `path`, for rehearsals: a client holds one registry at a time.
+
+    The latest row of a schema and the latest delivery of a version count.
+    """
+
+    page = 100
+
+    def __init__(self, options: dict[str, str], credentials: dict[str, str] | None = None):
+        self.path, self.loaded, self.lock = options["path"].rstrip("/"), None, threading.Lock()
+
+    def _rows(self, name: str, columns: list[str], filters=None) -> list[dict]:
+        import pyarrow.parquet as pq
+
+        return pq.read_table(f"{self.path}/{name}.parquet", columns=columns, filters=filters).to_pylist()
+
+    def _registry(self, name: str) -> tuple[dict, dict]:
+        with self.lock:
+            if self.loaded is None or self.loaded[0] != name:
+                mine = [("registry_name", "=", name)]
+                schemas, versions = {}, {}
+                for r in sorted(self._rows("glue_schemas", ["name", "data_format", "compatibility", "description", "updated_time"], mine), key=lambda r: (r["updated_time"] is not None, r["updated_time"])):
+                    schemas[r["name"]] = r
+                for r in sorted(self._rows("glue_versions", ["schema_name", "version_number", "schema_version_id", "definition", "status", "ingested_at"], mine), key=lambda r: (r["ingested_at"] is not None, r["ingested_at"])):
+                    versions.setdefault(r["schema_name"], {})[r["version_number"]] = r
+                self.loaded = (name, schemas, versions)
+            return self.loaded[1:]
+
+    def _page(self, items: list, token: str | None) -> tuple[list, str | None]:
+        end = int(token or 0) + self.page
+        return items[end - self.page : end], str(end) if end < len(items) else None
+
+    def list_registries(self, token):
+        return self._page([{"name": n} for n in sorted({r["name"] for r in self._rows("registries", ["name"])})], token)
+
+    def get_registry(self, name):
+        found = self._rows("registries", ["name", "arn", "description"], [("name", "=", name)])
+        if not found:
+            raise LookupError(f"registry {name!r} does not exist")
+        return found[0]
+
+    def list_schemas(self, registry, token):
+        return self._page([{"name": n} for n in sorted(self._registry(registry)[0])], token)
+
+    def get_schema(self, registry, name):
+        return self._registry(registry)[0][name]
+
+    def list_versions(self, registry, name, token):
+        return self._page(sorted(self._registry(registry)[1].get(name, {})), token)
+
+    def get_version(self, registry, name, number):
+        return self._registry(registry)[1][name][number]
+
+
 def credentials(options: dict[str, str]) -> dict[str, str]:
     """Which credentials a client is to use: given keys, else a profile, else the environment's default chain."""
     if options.get("access_key_id") and options.get("secret_access_key"):

@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 
 duckdb = pytest.importorskip("duckdb")
 DIR = "/root/testdata/sf0.001"
-SAMPLE = ["p1_found", "p5_found", "normalize", "role_builtin", "avro_fields", "json_fields", "subject_record", "collisions", "validate_warnings", "plan_summary", "resume", "reference_rewrite", "suggestion_context"]
+SAMPLE = ["p1_found", "p5_found", "normalize", "role_builtin", "avro_fields", "json_fields", "subject_record", "collisions", "validate_warnings", "plan_summary", "resume", "reference_rewrite", "suggestion_context", "p2_found", "p2_unparsed", "p4_descendants", "reference_bodies", "service_one_registry", "edge_lists"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DIR), reason="the driver's tables are not here")
 
